@@ -9,6 +9,7 @@ so the size of the model is never limited by what one process can hold.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -83,9 +84,9 @@ def nearest_rows(
 
 def center_blocks(
     model: DataFrame, block_bytes: int = BLOCK_BYTES
-) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(ids, centers) in id order; each block holds at most ``block_bytes`` of centers."""
-    table = model.select("cluster_id", "center")
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(ids, centers, weights) in id order; each block holds at most ``block_bytes`` of centers."""
+    table = model.select("cluster_id", "center", "weight")
     last, first_rows = None, 1024
     while True:
         rest = table if last is None else table.filter(F.col("cluster_id") > last)
@@ -104,12 +105,18 @@ def center_blocks(
         if rows < block.num_rows:
             block, complete = block.slice(0, rows), False
         ids = block.column("cluster_id").to_numpy()
-        yield ids, to_matrix(block.column("center"), dims)
+        yield ids, to_matrix(block.column("center"), dims), block.column("weight").to_numpy()
         if complete:
             return
         last = int(ids[-1])
 
 
+def small_model(model: DataFrame) -> list | None:
+    """All blocks of a model that fits one block, to be read once for several passes; else None."""
+    blocks = list(islice(center_blocks(model), 2))
+    return blocks if len(blocks) == 1 else None
+
+
 def nearest_column(df: DataFrame, vector: str, ids, centers, skip_equal: bool, seen: Column) -> Column:
     """Best hit among one block and the hit ``seen`` in earlier blocks (which hold lower ids)."""
     shared = df.sparkSession.sparkContext.broadcast((ids, centers))
@@ -138,11 +145,15 @@ def predict(
     vector: str = "tfidf",
     skip_equal: bool = False,
     block_bytes: int = BLOCK_BYTES,
+    blocks: list | None = None,
 ) -> DataFrame:
-    """Adds ``cluster_id`` and ``sq_dist`` of the nearest center (null for an empty model)."""
+    """Adds ``cluster_id`` and ``sq_dist`` of the nearest center (null for an empty model).
+
+    ``blocks`` passes on the centers of ``model`` when the caller has read them already.
+    """
     hit = F.lit(None).cast(HIT)
     out = features.withColumn("_hit", hit)
-    for n, (ids, centers) in enumerate(center_blocks(model, block_bytes)):
+    for n, (ids, centers, _) in enumerate(blocks or center_blocks(model, block_bytes)):
         if n:
             out = cut_lineage(out)
         hit = nearest_column(out, vector, ids, centers, skip_equal, F.col("_hit"))
@@ -155,7 +166,10 @@ def predict(
 
 
 def nearest_neighbor_center(
-    model: DataFrame, used: DataFrame | None = None, block_bytes: int = BLOCK_BYTES
+    model: DataFrame,
+    used: DataFrame | None = None,
+    block_bytes: int = BLOCK_BYTES,
+    blocks: list | None = None,
 ) -> DataFrame:
     """(cluster_id, neighbor_id, neighbor_dist): the nearest center with other values.
 
@@ -164,7 +178,7 @@ def nearest_neighbor_center(
     centers = model.select(F.col("cluster_id").alias("of"), "center")
     if used is not None:
         centers = centers.join(used.select(F.col("cluster_id").alias("of")), "of", "left_semi")
-    hits = predict(centers, model, "center", skip_equal=True, block_bytes=block_bytes)
+    hits = predict(centers, model, "center", True, block_bytes, blocks)
     return hits.select(
         F.col("of").alias("cluster_id"),
         F.coalesce("cluster_id", "of").alias("neighbor_id"),
@@ -176,7 +190,7 @@ def center_pairs(model: DataFrame, threshold: float = 25.0, block_bytes: int = B
     """(id_i, id_j, dist) for centers i < j closer than ``threshold``; only hits leave the tasks."""
     spark = model.sparkSession
     parts = []
-    for ids, centers in center_blocks(model, block_bytes):
+    for ids, centers, _ in center_blocks(model, block_bytes):
         shared = spark.sparkContext.broadcast((ids, centers))
 
         def close(batches, shared=shared):

@@ -12,14 +12,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from topicstream.functions.vectors import round2, safe_ratio, scaled_dist
-from topicstream.operators.nearest import nearest_neighbor_center, predict
+from topicstream.operators.nearest import nearest_neighbor_center, predict, small_model
 
 KEYS = ("cluster_id",)
 
 
-def neighbor_centers(model: DataFrame, used: DataFrame | None = None) -> DataFrame:
+def neighbor_centers(model: DataFrame, blocks: list | None = None) -> DataFrame:
     """(cluster_id, neighbor_id, neighbor_center) by a join of the model with itself."""
-    pairs = nearest_neighbor_center(model, used).select("cluster_id", "neighbor_id")
+    pairs = nearest_neighbor_center(model, blocks=blocks).select("cluster_id", "neighbor_id")
     other = model.select(F.col("cluster_id").alias("neighbor_id"), F.col("center").alias("neighbor_center"))
     return pairs.join(other, "neighbor_id").select("cluster_id", "neighbor_id", "neighbor_center")
 
@@ -30,11 +30,12 @@ def assign(features: DataFrame, model: DataFrame, vector: str = "tfidf") -> Data
     Text and links ride along, so no join by post id is needed. Posts without a positive vector sum
     have no cluster; they are returned with nulls.
     """
-    hits = predict(features, model, vector)
+    blocks = small_model(model)
+    hits = predict(features, model, vector, blocks=blocks)
     live = F.col("vec_sum") > 0
     hits = hits.withColumn("cluster_id", F.when(live, F.col("cluster_id")))
     hits = hits.withColumn("own", F.when(live, F.col("sq_dist") / F.col("vec_sum")))
-    joined = hits.join(neighbor_centers(model), "cluster_id", "left")
+    joined = hits.join(neighbor_centers(model, blocks), "cluster_id", "left")
     other = scaled_dist(F.col(vector), F.col("neighbor_center"), F.col("vec_sum"))
     return joined.withColumn("other", other).drop("neighbor_center", "sq_dist")
 

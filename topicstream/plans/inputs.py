@@ -92,7 +92,7 @@ def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").alias("id"),
         F.concat_ws(" ", "event_type", "props").alias("text"),
         F.lit("en").alias("lang"),
-        F.unix_millis("ts").cast("string").alias("timestamp_ms"),
+        F.unix_millis(F.col("ts").cast("timestamp")).cast("string").alias("timestamp_ms"),
         F.struct(
             ((F.col("user_id") + 1) % 150).alias("id"),
             F.concat(F.lit("u"), ((F.col("user_id") + 1) % 150).cast("string")).alias("screen_name"),

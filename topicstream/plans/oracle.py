@@ -144,7 +144,7 @@ raw_weights AS (SELECT id, source, word, n * idf AS w FROM counts JOIN df USING
 tfidf AS (SELECT id, source, word, w / sqrt(sum(w * w) OVER (PARTITION BY id)) AS w FROM raw_weights)"""
 EVENT_POSTS = """sent AS (SELECT event_id AS id, 'u' || user_id AS mention, 'u' || ((user_id + 1) % 150) AS author,
   (user_id + 1) % 150 AS author_id, floor(value)::BIGINT AS followers, event_type || ' ' || props AS text,
-  event_type || ',k' || json_extract_string(props, '$.k') AS hashtags, epoch_ms(ts)::VARCHAR AS timestamp_ms,
+  event_type || ',k' || json_extract_string(props, '$.k') AS hashtags, (epoch_us(ts) // 1000)::VARCHAR AS timestamp_ms,
   event_type FROM events), kept AS (SELECT * FROM sent WHERE event_type <> 'error')"""
 HOSTS = "regexp_extract(url, '^[a-z]+://([^/?#]+)', 1)"
 TERMS = f"""SELECT DISTINCT trim(t) AS term FROM (SELECT replace(lower({HOSTS}), '.', ' ') AS t FROM pages
@@ -167,7 +167,7 @@ def _words_of(keep: str, expression: str) -> str:
 
 ORACLE = {
     # sources
-    "read_posts": f"WITH {ALL_DOCS} SELECT id, text, CASE WHEN lang <> 'en' THEN source || ',' || lang ELSE '' END AS urls, "
+    "read_posts": f"WITH {ALL_DOCS} SELECT id, text, CASE WHEN lang <> 'en' THEN source || ' ' || lang ELSE '' END AS urls, "
     "CASE WHEN lang <> 'en' THEN 2 ELSE 0 END::BIGINT AS n_urls FROM docs",
     "stream_posts": "SELECT doc_id AS id, length(text)::BIGINT AS chars, make_timestamp(doc_id * 1000000) AS ts FROM documents",
     "slice_batches": "SELECT id, r // 50 AS batch_index FROM (SELECT doc_id AS id, row_number() OVER (ORDER BY doc_id) - 1 AS r "
@@ -309,7 +309,7 @@ SELECT event_id, cluster, tag, tag <> first_value(tag) OVER (PARTITION BY cluste
 WINDOW w AS (PARTITION BY tag ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""",
     "top_terms": f"""WITH {TFIDF},
 sizes AS (SELECT source, count(*) AS size FROM posts GROUP BY source ORDER BY size DESC, source LIMIT 10),
-means AS (SELECT source, size, word, sum(w) / size AS weight FROM tfidf JOIN sizes USING (source) GROUP BY ALL)
+means AS (SELECT source, size, word, sum(w) / size AS weight FROM tfidf JOIN sizes USING (source) GROUP BY source, size, word)
 SELECT * FROM (SELECT source AS cluster_id, size, row_number() OVER (PARTITION BY source ORDER BY round(weight, 9) DESC, word) AS rank,
   word, round(weight, 6) AS weight FROM means) WHERE rank <= 10""",
     "upsert_posts": "SELECT doc_id AS id, text FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
