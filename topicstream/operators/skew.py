@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,29 +37,26 @@ def join_per_key(
     )
 
 
-def with_position(df: DataFrame, order: str, rows_per_range: int = 500_000) -> DataFrame:
+def with_position(df: DataFrame, order: str, rows_per_range: int = 500_000, max_ranges: int = 10_000) -> DataFrame:
     """Adds ``position``, the 0-based rank by the unique numeric column ``order``.
 
-    Ranges of ``order`` are ranked separately and shifted by the size of all earlier ranges, so no
-    task ever sees more than about one range. Range limits are plain numbers in the plan, which makes the
-    result independent of how often or where a task runs.
+    Ranges of ``order`` are ranked separately and shifted by the size of all earlier ranges, so no task
+    sorts more than about one range. The limits of the ranges are plain numbers in the plan, so the result does
+    not depend on how often or where a task runs.
     """
     total = df.count()
-    ranges = max(1, -(-total // rows_per_range))
-    if ranges == 1:
-        limits = []
-    else:
+    ranges = min(max_ranges, -(-total // rows_per_range))
+    if ranges > 1:
         steps = [n / ranges for n in range(1, ranges)]
-        limits = sorted(set(df.agg(F.percentile_approx(order, steps, 10 * ranges)).head()[0]))
-    bounds = F.array(*[F.lit(x) for x in limits]) if limits else F.array().cast("array<bigint>")
-    ranged = df.withColumn("_range", F.size(F.filter(bounds, lambda b: b < F.col(order))))
-    sizes = ranged.groupBy("_range").count().orderBy("_range").collect()  # one row per range
-    shift, offsets = 0, []
-    for row in sizes:
-        offsets.append((row["_range"], shift))
-        shift += row["count"]
-    offset = F.create_map(*[F.lit(x) for pair in offsets for x in pair]) if offsets else None
-    if offset is None:
-        return df.withColumn("position", F.lit(0).cast("long"))
+        limits = df.agg(F.percentile_approx(order, steps, 10 * ranges)).head()[0]
+        splits = [-math.inf, *sorted({float(x) for x in limits}), math.inf]
+        ranged = Bucketizer(splits=splits, inputCol=order, outputCol="_range").transform(df)
+    else:
+        ranged = df.withColumn("_range", F.lit(0.0))
+    # one row per range: at most ``max_ranges``
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ranged.groupBy("_range").agg(F.count("*").alias("n"))
+    shift = sizes.select("_range", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_shift"))
     inside = F.row_number().over(Window.partitionBy("_range").orderBy(order)) - 1
-    return ranged.withColumn("position", (offset[F.col("_range")] + inside).cast("long")).drop("_range")
+    ranked = ranged.withColumn("_inside", inside).join(F.broadcast(shift), "_range")
+    return ranked.select(*df.columns, (F.col("_shift") + F.col("_inside")).cast("long").alias("position"))

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from topicstream.functions.vectors import round2
 from topicstream.operators.features import preprocess
 from topicstream.operators.model import vector_mean
-from topicstream.operators.quality import assign, cluster_quality
+from topicstream.operators.quality import assign, cluster_quality, interesting_flag
 from topicstream.session import new_run_dir, staged_table
 from topicstream.sources.outputs import read_batches, write_batch
 
@@ -60,6 +61,39 @@ def report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster_quality(assigned(spark, sf_dir), ["batch_id", "cluster_id"])
 
 
+def event_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A cluster report with gaps: users and event types as clusters, weeks as batches (ids 2, 5, 8, ...)."""
+    e = table(spark, sf_dir, "events")
+    week = F.floor(F.datediff(F.col("ts").cast("date"), F.lit("2024-01-01").cast("date")) / 7)
+    rows = e.select(
+        (week * 3 + 2).alias("batch_id"),
+        (F.col("user_id") * 10 + F.ascii("event_type") % 10).alias("cluster_id"),
+        "event_id",
+        "event_type",
+        "value",
+    )
+    cells = rows.groupBy("batch_id", "cluster_id").agg(
+        F.count("*").alias("count"),
+        F.avg("value").alias("mean"),
+        F.max("value").alias("top"),
+        F.min("event_id").alias("rep_id"),
+        F.max("event_type").alias("rep_text"),
+    )
+    silhouette = F.col("mean") / F.col("top")
+    return cells.select(
+        "batch_id",
+        "cluster_id",
+        "count",
+        round2(silhouette).alias("silhouette"),
+        round2(F.col("mean")).alias("intra"),
+        round2(F.col("top")).alias("inter"),
+        interesting_flag(F.col("count"), silhouette).alias("interesting"),
+        "rep_id",
+        "rep_text",
+        F.lit("none").alias("best_url"),
+    )
+
+
 def stored(df: DataFrame, name: str) -> tuple[str, DataFrame]:
     """``df`` written batch by batch through the sinks; returns the run folder and the stored table."""
     spark = df.sparkSession

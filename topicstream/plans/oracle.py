@@ -101,7 +101,10 @@ def _report(keys: str, source: str = "assigned", name: str = "report") -> str:
 
 REPORT = f"{ASSIGNED},\n{_report('batch_id, cluster_id')}"
 TOTALS = f"{ASSIGNED},\n{_report('cluster_id')}"
-HISTORY = f"""{REPORT},
+HISTORY = """report AS (SELECT batch_id, cluster_id, count, round(mean / top, 2) AS silhouette, rep_id, 'none' AS best_url,
+  count >= 8 AND mean / top >= 0.4 AND mean / top <= 0.95 AS interesting FROM (
+  SELECT date_diff('day', DATE '2024-01-01', ts::DATE) // 7 * 3 + 2 AS batch_id, user_id * 10 + ascii(event_type) % 10 AS cluster_id,
+    count(*) AS count, avg(value) AS mean, max(value) AS top, min(event_id) AS rep_id FROM events GROUP BY 1, 2)),
 batches AS (SELECT batch_id, dense_rank() OVER (ORDER BY batch_id) - 1 AS batch_index FROM (SELECT DISTINCT batch_id FROM report)),
 keep AS (SELECT DISTINCT cluster_id FROM report WHERE interesting),
 grid AS (SELECT k.cluster_id, b.batch_index, coalesce(r.count, 0) AS count, r.silhouette, r.rep_id, r.best_url
@@ -212,7 +215,7 @@ WHERE coalesce(b.role, '') <> 'system' AND coalesce(c.role, '') <> 'system'""",
     "filter_collisions": f"WITH {TOKENS}, v AS (SELECT word, {_bucket(20000)} AS bucket FROM vocabulary) SELECT * FROM "
     "(SELECT bucket, word, count(*) OVER (PARTITION BY bucket) AS n_words FROM v) WHERE n_words > 1",
     "interesting_flag": f"WITH {TOTALS} SELECT cluster_id, count, interesting FROM report",
-    "interesting_history": f"WITH {REPORT} SELECT batch_id, cluster_id, count, interesting FROM report WHERE cluster_id IN "
+    "interesting_history": f"WITH {HISTORY} SELECT batch_id, cluster_id, count, interesting FROM report WHERE cluster_id IN "
     "(SELECT cluster_id FROM report WHERE interesting)",
     "drilldown": f"WITH {ASSIGNED} SELECT batch_id, cluster_id, id, text FROM assigned WHERE cluster_id = 3 AND batch_id = 1",
     # text

@@ -276,7 +276,7 @@ def interesting_flag(spark, sf):
 
 @query
 def interesting_history(spark, sf):
-    rows = hi.interesting_history(inp.report(spark, sf))
+    rows = hi.interesting_history(inp.event_report(spark, sf))
     return rows.select("batch_id", "cluster_id", "count", "interesting")
 
 
@@ -616,18 +616,18 @@ def throughput(spark, sf):
 
 @query
 def batch_index(spark, sf):
-    return hi.batch_index(inp.report(spark, sf))
+    return hi.batch_index(inp.event_report(spark, sf))
 
 
 @query
 def history_grid(spark, sf):
-    rows = hi.history_grid(staged_table(inp.report(spark, sf), "report"))
+    rows = hi.history_grid(staged_table(inp.event_report(spark, sf), "report"))
     return rows.select("cluster_id", "batch_index", "count", "silhouette", "rep_id", "best_url")
 
 
 @query
 def group_by_cluster(spark, sf):
-    rows = hi.group_by_cluster(hi.history_grid(staged_table(inp.report(spark, sf), "report")))
+    rows = hi.group_by_cluster(hi.history_grid(staged_table(inp.event_report(spark, sf), "report")))
     counts = F.transform("cells", lambda c: F.concat_ws(":", c["batch_index"].cast("string"), c["count"].cast("string")))
     return rows.select("cluster_id", F.array_join(counts, " ").alias("cells"))
 
