@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from topicstream.functions.text import STOP_WORDS, clean_text, plain_words, stem_text
 from topicstream.operators.skew import HOT_ROWS, join_per_key
+from topicstream.session import staged_table
 
 
 def normal_text(text: Column) -> Column:
@@ -20,7 +21,8 @@ def duplicate_groups(posts: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     Kept as one row per post, since one text may make up a large share of all posts. Texts are compared by
     their SHA-256 digest, so the shuffles carry digests and ids only.
     """
-    keyed = posts.select("id", F.unhex(F.sha2(normal_text(F.col("text")), 256)).alias("digest"))
+    digest = F.unhex(F.sha2(normal_text(F.col("text")), 256)).alias("digest")
+    keyed = staged_table(posts.select("id", digest), "digests")  # the texts are read once
     groups = keyed.groupBy("digest").agg(F.min("id").alias("rep_id"), F.count("*").alias("copies"))
     groups = groups.withColumn("n", F.col("copies"))
     return join_per_key(keyed, groups, "digest", "n", "id", hot_rows).select("id", "rep_id", "copies")
@@ -63,7 +65,7 @@ def tfidf_l2(
 ) -> DataFrame:
     """(id, word, w): smooth TF-IDF of the words in at least ``min_df`` posts and at most the share
     ``max_df`` of them, scaled to length 1 per post."""
-    counts = word_rows(posts, stop_words)
+    counts = staged_table(word_rows(posts, stop_words), "word-counts")  # used for the weights and for their df
     total = posts.agg(F.count("*")).scalar()
     df = counts.groupBy("word").agg(F.count("*").alias("df"))
     df = df.withColumn("m", total).filter((F.col("df") >= min_df) & (F.col("df") <= max_df * F.col("m")))

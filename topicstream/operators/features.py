@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from topicstream.functions.text import bucket_counts, hash_bucket, post_tokens
 from topicstream.functions.vectors import vector_sum
+from topicstream.session import staged_table
 
 
 def clean_tokens(posts: DataFrame, text: str = "text") -> DataFrame:
@@ -40,9 +41,15 @@ def weight_vectors(counted: DataFrame) -> DataFrame:
     )
 
 
-def preprocess(posts: DataFrame, dims: int = 100, method: str = "string_hash") -> DataFrame:
-    """The whole text pipeline: tokens, hashed term counts, TF-IDF vector and its sum."""
-    return weight_vectors(term_vectors(clean_tokens(posts), dims, method))
+def preprocess(posts: DataFrame, dims: int = 100, method: str = "string_hash", keep_text: bool = False) -> DataFrame:
+    """The whole text pipeline over stored posts: hashed term counts, TF-IDF vector and its sum.
+
+    The counts are needed twice, for the fit and for the result. They are staged as a table in between, since
+    reading them costs far less than cleaning all texts again.
+    """
+    keep = [c for c in posts.columns if keep_text or c != "text"]
+    counted = term_vectors(clean_tokens(posts), dims, method).select(*keep, "tf")
+    return weight_vectors(staged_table(counted, "term-counts"))
 
 
 def _entries(df: DataFrame, vector: str, value: str) -> DataFrame:

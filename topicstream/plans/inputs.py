@@ -15,13 +15,27 @@ from topicstream.sources.outputs import read_batches, write_batch
 BATCHES = 4
 
 
+SMALL_ROWS = 1_000_000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose rows are costly to process.
+
+    A small table is often one file with one row group, which only a single task can read; it is spread over all
+    cores. Larger tables come in as many tasks as they have row groups and are not shuffled.
+    """
+    df = table(spark, sf_dir, name)
+    small = df.count() < SMALL_ROWS  # answered from the file footers
+    return df.repartition(spark.sparkContext.defaultParallelism) if small else df
+
+
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """English documents as posts; the number of the source serves as a given cluster."""
-    docs = table(spark, sf_dir, "documents").filter(F.col("lang") == "en")
+    docs = texts(spark, sf_dir, "documents").filter(F.col("lang") == "en")
     return docs.select(
         F.col("doc_id").alias("id"),
         "text",
@@ -31,7 +45,7 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return preprocess(posts(spark, sf_dir)).drop("tokens")
+    return preprocess(posts(spark, sf_dir).select("id", "text", "source"))
 
 
 def centers(vectors: DataFrame, vector: str = "tfidf") -> DataFrame:
@@ -51,7 +65,7 @@ def source_model(posts_with_vectors: DataFrame) -> DataFrame:
 
 def assigned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posts assigned to the fixed centers, numbered as batches by id. Stored, as the online job does."""
-    rows = staged_table(features(spark, sf_dir), "features")
+    rows = staged_table(preprocess(posts(spark, sf_dir), keep_text=True), "features")
     hits = assign(rows, source_model(rows)).withColumn("batch_id", F.pmod("id", F.lit(BATCHES)))
     keep = ["batch_id", "id", "cluster_id", "neighbor_id", "text", "urls", "vec_sum", "own", "other"]
     return staged_table(hits.select(*keep), "assigned")
@@ -120,7 +134,7 @@ def label_model(vectors: DataFrame) -> DataFrame:
 
 def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as raw API lines: one mention per record; errors are control messages."""
-    e = table(spark, sf_dir, "events")
+    e = texts(spark, sf_dir, "events")
     none = F.array().cast("array<struct<expanded_url:string>>")
     record = F.struct(
         F.col("event_id").alias("id"),
@@ -150,7 +164,7 @@ def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def thread_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversation turns as raw lines; a turn quotes the turn before it, which quotes the one before."""
-    turns = table(spark, sf_dir, "conversations")
+    turns = texts(spark, sf_dir, "conversations")
 
     def post(t: str, *quoted):
         lang = F.when(F.col(f"{t}.role") == "system", "xx").otherwise("en")

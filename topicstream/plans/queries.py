@@ -46,7 +46,7 @@ def joined(words: str | Column) -> Column:
 
 
 def docs(spark, sf) -> DataFrame:
-    return inp.table(spark, sf, "documents").withColumnRenamed("doc_id", "id")
+    return inp.texts(spark, sf, "documents").withColumnRenamed("doc_id", "id")
 
 
 # --- sources ------------------------------------------------------------------------------------
