@@ -159,7 +159,8 @@ def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     line = F.to_json(record)
     control = F.concat(F.lit('{"delete":null,'), F.substring(line, F.lit(2), F.length(line)))
-    return e.select(F.when(F.col("event_type") == "error", control).otherwise(line).alias("raw"))
+    lines = e.select(F.when(F.col("event_type") == "error", control).otherwise(line).alias("raw"))
+    return staged_table(lines, "raw-lines")  # a collector's lines are stored text
 
 
 def thread_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -188,7 +189,7 @@ def thread_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("c.turn").isNull(), F.to_json(post("a", post("b"))))
         .otherwise(F.to_json(post("a", post("b", post("c")))))
     )
-    return rows.select(line.alias("raw"))
+    return staged_table(rows.select(line.alias("raw")), "raw-threads")
 
 
 def post_lines(spark: SparkSession, sf_dir: str) -> str:

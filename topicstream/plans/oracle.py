@@ -168,6 +168,35 @@ def _words_of(keep: str, expression: str) -> str:
     )
 
 
+ADMITTED = f"""{VECTORS.replace("posts AS (", "posts AS MATERIALIZED (", 1)},
+ordered AS MATERIALIZED (SELECT v, s, row_number() OVER (ORDER BY id) AS r FROM vectors WHERE s > 0),
+pass AS (SELECT 0::BIGINT AS r, []::DOUBLE[][] AS admitted
+  UNION ALL SELECT o.r, CASE WHEN len(list_filter(p.admitted, lambda a: list_distance(o.v, a) * list_distance(o.v, a) / o.s < 2.2)) = 0
+    THEN list_append(p.admitted, o.v) ELSE p.admitted END FROM pass p JOIN ordered o ON o.r = p.r + 1),
+final AS (SELECT admitted FROM pass ORDER BY r DESC LIMIT 1),
+numbered AS (SELECT unnest(admitted) AS c, generate_subscripts(admitted, 1) AS pos, len(admitted) AS n FROM final)"""
+MERGED = """e AS MATERIALIZED (SELECT vec_id AS id, label + 1.0 AS weight, embedding::DOUBLE[] AS v FROM embeddings),
+pairs AS MATERIALIZED (SELECT i, j, wi, wj, row_number() OVER (ORDER BY i, j) AS r FROM (SELECT a.id AS i, b.id AS j,
+  a.weight AS wi, b.weight AS wj, list_distance(a.v, b.v) AS d FROM e a JOIN e b ON a.id < b.id) WHERE d * d < 1.2),
+pass AS (SELECT 0::BIGINT AS r, []::BIGINT[] AS gone, []::STRUCT(k BIGINT, w DOUBLE)[] AS gains
+  UNION ALL SELECT p.r,
+    CASE WHEN list_contains(gone, i) OR list_contains(gone, j) THEN gone
+      WHEN wi > wj THEN list_append(gone, j) ELSE list_append(gone, i) END,
+    CASE WHEN list_contains(gone, i) OR list_contains(gone, j) THEN gains
+      WHEN wi > wj THEN list_append(gains, {'k': i, 'w': wj}) ELSE list_append(gains, {'k': j, 'w': wi}) END
+  FROM pass s JOIN pairs p ON p.r = s.r + 1),
+final AS (SELECT * FROM pass ORDER BY r DESC LIMIT 1),
+gained AS (SELECT g.k AS id, sum(g.w) AS w FROM (SELECT unnest(gains) AS g FROM final) GROUP BY 1)"""
+DBSCAN = f"""{TFIDF.replace("tfidf AS (", "tfidf AS MATERIALIZED (", 1)},
+points AS (SELECT DISTINCT id FROM tfidf),
+near AS MATERIALIZED (SELECT a.id AS a, b.id AS b FROM tfidf a JOIN tfidf b ON a.word = b.word GROUP BY a.id, b.id
+  HAVING sum(a.w * b.w) >= 0.955 - 1e-9),
+core AS MATERIALIZED (SELECT a AS id FROM near GROUP BY a HAVING count(*) >= 5),
+links AS MATERIALIZED (SELECT a, b FROM near WHERE a IN (SELECT id FROM core) AND b IN (SELECT id FROM core)),
+reach AS (SELECT id AS a, id AS b FROM core UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+labels_of AS (SELECT b AS id, min(a) AS label FROM reach GROUP BY b),
+border AS (SELECT n.b AS id, min(l.label) AS label FROM near n JOIN labels_of l ON l.id = n.a GROUP BY n.b)"""
+
 ORACLE = {
     # sources
     "read_posts": f"WITH {ALL_DOCS} SELECT id, text, CASE WHEN lang <> 'en' THEN source || ' ' || lang ELSE '' END AS urls, "
@@ -330,6 +359,12 @@ SELECT * FROM (SELECT source AS cluster_id, size, row_number() OVER (PARTITION B
     "merge_collisions": f"WITH {COLLISIONS} SELECT bucket, word, n_words FROM merged WHERE n_words > 1",
     # the online model
     "init_model": f"WITH {VECTORS} SELECT id FROM vectors WHERE s > 0",
+    "add_clusters": f"WITH RECURSIVE {ADMITTED} SELECT n - pos + 1 AS cluster_id, 0.0::DOUBLE AS weight, "
+    "round(list_sum(c), 4) AS total FROM numbered",
+    "merge_clusters": f"WITH RECURSIVE {MERGED} SELECT id AS cluster_id, (weight + coalesce(w, 0))::DOUBLE AS weight "
+    "FROM e LEFT JOIN gained USING (id), final WHERE NOT list_contains(gone, id)",
+    "dbscan": f"WITH RECURSIVE {DBSCAN} SELECT p.id, coalesce(l.label, b.label, -1) AS label FROM points p "
+    "LEFT JOIN labels_of l USING (id) LEFT JOIN border b USING (id)",
     "model_append": f"WITH {EMBEDDINGS} SELECT cluster_id, weight FROM centers UNION ALL SELECT cluster_id + 100, 0.0 FROM centers",
     "model_remove": f"WITH {EMBEDDINGS} SELECT cluster_id, weight FROM centers WHERE weight >= (SELECT avg(weight) FROM centers)",
     "train_step": f"WITH {TRAINED} SELECT cluster_id, round(any_value(weight), 4) AS weight, round(sum(c), 6) + 0.0 AS total, "

@@ -31,8 +31,6 @@ def track_filter(posts: DataFrame, terms: list[str], text: str = "text") -> Data
         return posts.limit(0)
     listed = F.array(*[F.array(*[F.lit(w) for w in p]) for p in phrases])
     hits = F.array_intersect(tokenize(F.col(text)), F.array(*[F.lit(w) for w in words]))
-    return (
-        posts.withColumn("_hits", hits)
-        .filter((F.size("_hits") > 0) & F.exists(listed, lambda p: F.size(F.array_except(p, F.col("_hits"))) == 0))
-        .drop("_hits")
-    )
+    # the hits are bound to a lambda variable, so that they are formed once per post and not once per term
+    found = F.exists(F.array(hits), lambda h: F.exists(listed, lambda p: F.size(F.array_except(p, h)) == 0))
+    return posts.filter(found)
