@@ -59,8 +59,12 @@ def with_post_link(info: DataFrame, prefix: str) -> DataFrame:
     return info.withColumn("rep_link", F.concat(F.lit(prefix), F.col("rep_id").cast("string")))
 
 
-def drilldown(assigned: DataFrame, cluster_id: int, batch_number: int) -> DataFrame:
-    """The posts of one cell of the grid. ``batch_id`` is a partition column, so other batches are not read."""
-    wanted = batch_index(assigned).filter(F.col("batch_index") == batch_number).select("batch_id")
+def drilldown(assigned: DataFrame, cluster_id: int, batch_number: int, batches: DataFrame | None = None) -> DataFrame:
+    """The posts of one cell of the grid. ``batch_id`` is a partition column, so other batches are not read.
+
+    ``batches`` is any table with all batch ids; the batch summary has one row for each.
+    """
+    numbers = batch_index(assigned if batches is None else batches)
+    wanted = numbers.filter(F.col("batch_index") == batch_number).select("batch_id")  # one row
     rows = assigned.filter(F.col("cluster_id") == cluster_id)
     return rows.join(F.broadcast(wanted), "batch_id", "left_semi").select("batch_id", "cluster_id", "id", "text")
