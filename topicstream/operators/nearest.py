@@ -48,6 +48,19 @@ def rough_sqdist(x: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.nda
     return d, 1e-12 * (xn + (cn.max() if len(cn) else 0.0) + 1.0)
 
 
+def closer_than(x: np.ndarray, centers: np.ndarray, limit: float | np.ndarray) -> np.ndarray:
+    """(rows, centers) matrix: squared distance below ``limit``, which may differ from row to row.
+
+    Distances too close to the limit for the matrix product are taken from the differences.
+    """
+    rough, slack = rough_sqdist(x, centers)
+    limits = np.broadcast_to(np.asarray(limit, dtype=np.float64), len(x))
+    near = rough < (limits - slack)[:, None]
+    r, c = np.nonzero(np.abs(rough - limits[:, None]) <= slack[:, None])
+    near[r, c] = ((x[r] - centers[c]) ** 2).sum(axis=1) < limits[r]
+    return near
+
+
 def nearest_rows(
     x: np.ndarray, centers: np.ndarray, skip_equal: bool = False
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -199,14 +212,11 @@ def center_pairs(model: DataFrame, threshold: float = 25.0, block_bytes: int = B
                 own = batch.column("cluster_id").to_numpy(zero_copy_only=False)
                 x = to_matrix(batch.column("center"), block.shape[1])
                 for part in row_chunks(len(x), len(block)):
-                    rough, slack = rough_sqdist(x[part], block)
                     later = own[part][:, None] < block_ids[None, :]
-                    r, c = np.nonzero(later & (rough < threshold + slack[:, None]))
+                    r, c = np.nonzero(later & closer_than(x[part], block, threshold))
                     d = ((x[part][r] - block[c]) ** 2).sum(axis=1)
-                    keep = d < threshold
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(own[part][r[keep]]), pa.array(block_ids[c[keep]]), pa.array(d[keep])],
-                        names=["id_i", "id_j", "dist"],
+                        [pa.array(own[part][r]), pa.array(block_ids[c]), pa.array(d)], names=["id_i", "id_j", "dist"]
                     )
 
         rows = model.select("cluster_id", "center")
