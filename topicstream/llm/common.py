@@ -26,6 +26,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """The place of a public vocabulary file, the same on all machines."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def id_remainder(column: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; -1 for a null id."""
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % modulus, F.lit(-1))
@@ -71,3 +78,10 @@ def mix64(x: np.ndarray) -> np.ndarray:
 def text_volume(df: DataFrame, column: str) -> int:
     """UTF-8 bytes in ``column``; a narrow scan and one sum."""
     return df.agg(F.sum(F.octet_length(column))).head()[0] or 0
+
+
+def boxed(docs: DataFrame, needed: tuple[str, ...]) -> tuple[DataFrame, list[Column]]:
+    """``docs`` with all columns but the ``needed`` ones renamed, so that none clashes, and the columns to restore."""
+    names = {c: c if c in needed else f"_column_{i}" for i, c in enumerate(docs.columns)}
+    renamed = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
+    return renamed, [F.col(n).alias(c) for c, n in names.items()]

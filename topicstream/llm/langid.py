@@ -174,7 +174,7 @@ def fit(docs: DataFrame, trainable: Column, settings: Settings = Settings()) ->
 
 
 def predict(docs: DataFrame, net: Network | None, keep: list[str], settings: Settings = Settings()) -> DataFrame:
-    """``keep`` columns plus lang_pred and score for the whole text of each row."""
+    """``keep`` columns (none of them of these names) plus lang_pred and score for the whole text of each row."""
     size = settings.window
     schema = docs.select(*keep).schema
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema) + ", lang_pred string, score double"
@@ -204,8 +204,7 @@ def predict(docs: DataFrame, net: Network | None, keep: list[str], settings: Set
                 rows, windows, sizes, held = [], [], [], 0
         if rows:
             settle()
-        kept = {name: batch.column(f"_{name}") for name in keep}
+        kept = {name: batch.column(name) for name in keep}
         return kept | {"lang_pred": label.tolist(), "score": score}
 
-    source = docs.select(*[F.col(c).alias(f"_{c}") for c in keep], "text")
-    return map_batches(source, transform, ddl)
+    return map_batches(docs.select(*dict.fromkeys([*keep, "text"])), transform, ddl)

@@ -105,16 +105,16 @@ def statistics(text: bytes) -> list[float]:
 
 
 def text_statistics(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """``keep`` columns and ``stats``, an array of the numbers in ``STATISTICS``."""
+    """``keep`` columns (none of this name) and ``stats``, an array of the numbers in ``STATISTICS``."""
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema) + ", stats array<double>"
 
     def transform(batch: pa.RecordBatch) -> dict:
         flat = np.array([statistics(t) for t in text_bytes(batch.column("text"))]).ravel()
         offsets = np.arange(0, len(flat) + 1, WIDTH, dtype=np.int32)
         stats = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
-        return {name: batch.column(f"_{name}") for name in keep} | {"stats": stats}
+        return {name: batch.column(name) for name in keep} | {"stats": stats}
 
-    return map_batches(docs.select(*[F.col(c).alias(f"_{c}") for c in keep], "text"), transform, ddl)
+    return map_batches(docs.select(*dict.fromkeys([*keep, "text"])), transform, ddl)
 
 
 def matrix(batch: pa.RecordBatch, column: str = "stats") -> np.ndarray:

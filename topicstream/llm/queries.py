@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicstream.llm import langid, quality
-from topicstream.llm.common import id_remainder, prepare, table
+from topicstream.llm import langid, minhash, packing, quality
+from topicstream.llm.common import id_remainder, prepare, table, vocabulary
 from topicstream.session import staged_table
 
 QUERIES = {}
@@ -22,6 +22,12 @@ def query(fn):
     return prepared
 
 
+@query
+def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate documents by two-word shingles."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), minhash.Settings(shingle=2))
+
+
 @query
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's quality, learned from labelled rows with crc32(doc_id) mod 3 other than 1."""
@@ -39,3 +45,9 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = id_remainder("doc_id", 4) == 2
     net = langid.fit(docs, ~held_out)
     return langid.predict(docs.withColumn("held_out", held_out), net, ["doc_id", "held_out"])
+
+
+@query
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 4096 tokens."""
+    return packing.packed(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
