@@ -1,3 +1,31 @@
 """SQL counterparts of the training-data queries that SQL can express."""
 
 ORACLE: dict[str, str] = {}
+
+BASE32 = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'"
+# five hexadecimal digits are four base-32 digits
+_DIGITS = " || ".join(
+    f"substr({BASE32}, ((('0x' || substr(h, {5 * i + 1}, 5))::BIGINT >> {shift}) & 31)::INT + 1, 1)" for i in range(8) for shift in (15, 10, 5, 0)
+)
+
+ORACLE["op1_warc_dictionary"] = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes, sha1(html) AS h FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first FROM d)
+SELECT page_id, payload_bytes, {_DIGITS} AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+FROM f"""
+
+# The given pages mark their article, so its blocks are the main text.
+ORACLE["op6_line_block_html"] = r"""
+WITH a AS (
+  SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)(</article>|$)', 1) AS body FROM pages
+), b AS (
+  SELECT page_id, url, regexp_replace(regexp_replace(body, '</?(p|h1|br)>', chr(10), 'g'), '<[^>]*>', '', 'g') AS body FROM a
+), e AS (
+  SELECT page_id, url, replace(replace(replace(replace(body, '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS body FROM b
+), t AS (
+  SELECT page_id, url, trim(regexp_replace(body, '\s+', ' ', 'g')) AS text FROM e
+)
+SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM t"""

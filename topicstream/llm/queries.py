@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicstream.llm import langid, minhash, packing, quality
+from topicstream.llm import html_text, langid, minhash, packing, quality, warc
 from topicstream.llm.common import id_remainder, prepare, table, vocabulary
 from topicstream.session import staged_table
 
@@ -22,6 +22,13 @@ def query(fn):
     return prepared
 
 
+@query
+def op1_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written to dictionary-compressed archives and read back."""
+    records = warc.read_archives(warc.write_archives(table(spark, sf_dir, "pages")), payloads=False)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate documents by two-word shingles."""
@@ -38,6 +45,12 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.predict(stats.withColumn("held_out", held_out), model)
 
 
+@query
+def op6_line_block_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 @query
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's language, learned from rows with crc32(doc_id) mod 4 other than 2."""
