@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicstream.llm import html_text, langid, minhash, packing, quality, warc
+from topicstream.llm import bloom_lm, html_text, langid, minhash, packing, quality, warc
 from topicstream.llm.common import id_remainder, prepare, table, vocabulary
 from topicstream.session import staged_table
 
@@ -64,3 +64,12 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of 4096 tokens."""
     return packing.packed(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+
+
+@query
+def op10_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's log probability, learned from rows with crc32(doc_id) mod 5 other than 1."""
+    held_out = id_remainder("doc_id", 5) == 1
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", held_out.alias("held_out"))
+    model = bloom_lm.fit(docs, ~F.col("held_out"))
+    return bloom_lm.score(docs, model, ["doc_id", "held_out"])
