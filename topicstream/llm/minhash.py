@@ -7,9 +7,11 @@ their whole texts.
 
 Equal shingle sets are one node from the start, so exact copies never meet each other. Within a band the nodes
 are compared with one leader, linked nodes become one component, and only bands that still hold several components
-go on: with other leaders for ``star_rounds`` rounds, then every pair of nodes of different components in such a band. No pair of
-candidates whose link could still join two components is left out, and pairs inside one component are not
-formed. With 40 bands of 5 coordinates, two sets of similarity 0.8 share no band with probability 1.3e-7.
+go on. There the signatures are compared in blocks, and nodes outside the largest component are tested against nodes of other
+components that look similar enough: first against the ``best`` few each, last, by signatures of ``sharp`` coordinates, against all of
+them. Pairs inside one component are never formed, and a pair that could still join two components is passed over only by its
+signature. With 40 bands of 5 coordinates, two sets of similarity 0.8 share no band with probability 1.3e-7; that their signatures
+agree ``deviations`` standard deviations less than expected has probability 3e-6.
 
 Set sizes and digests use 64-bit shingle hashes (two of a document's n shingles collide with probability n*n/2^65).
 
@@ -40,8 +42,11 @@ class Settings:
     percent: int = 80  # link at 100 * intersection >= percent * union
     bands: int = 40
     rows: int = 5
-    star_rounds: int = 3
-    cached_words: int = 200_000
+    best: int = 2
+    sharp: int = 1024
+    deviations: float = 4.5
+    block: int = 1024
+    cached_words: int = 150_000
 
 
 class WordHashes(dict):
@@ -121,7 +126,7 @@ def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def sketch(docs: DataFrame, settings: Settings) -> DataFrame:
-    """doc_id, text_hash, n_shingles, digest of the set (null if empty) and band keys."""
+    """doc_id, text_hash, n_shingles, digest of the set (null if empty), band keys and the low bytes of the signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -142,19 +147,22 @@ def sketch(docs: DataFrame, settings: Settings) -> DataFrame:
         sets = [shingle_hashes(t, settings.shingle, hashes) for t in texts]
         sizes = np.array([len(s) for s in sets])
         full = np.flatnonzero(sizes)
-        keys = np.empty((0, settings.bands), np.uint64)
+        keys, marks = np.empty((0, settings.bands), np.uint64), [None] * len(texts)
         if len(full):
             values = (np.concatenate([sets[i] for i in full]) >> np.uint64(32)).astype(np.uint32)
             starts = np.concatenate([[0], np.cumsum(sizes[full])[:-1]])
-            keys = band_keys(signatures(values, starts, settings.bands * settings.rows), settings.bands, settings.rows)
+            signature = signatures(values, starts, settings.bands * settings.rows)
+            keys = band_keys(signature, settings.bands, settings.rows)
+            for i, row in zip(full, signature.astype(np.uint8), strict=True):
+                marks[i] = row.tobytes()
         offsets = np.concatenate([[0], np.cumsum(np.where(sizes > 0, settings.bands, 0))]).astype(np.int32)
         lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.ravel().view(np.int64)))
         digests = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
-        columns = [batch.column("doc_id"), batch.column("text_hash"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), lists]
-        return pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "n_shingles", "digest", "bands"])
+        columns = [batch.column("doc_id"), batch.column("text_hash"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), lists, pa.array(marks, pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "n_shingles", "digest", "bands", "marks"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    ddl = f"doc_id {kind}, text_hash long, n_shingles long, digest binary, bands array<long>"
+    ddl = f"doc_id {kind}, text_hash long, n_shingles long, digest binary, bands array<long>, marks binary"
     return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(run, ddl)
 
 
@@ -182,10 +190,96 @@ def confirm(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a binary, b binary")
 
 
+def sharper(texts: DataFrame, settings: Settings) -> DataFrame:
+    """digest and low bytes of a longer signature of the texts."""
+
+    def transform(batch: pa.RecordBatch) -> dict:
+        hashes, texts = WordHashes(), text_bytes(batch.column("text"))
+        marks, at = [], 0
+        while at < len(texts):  # a bounded number of sets at a time
+            sets = [shingle_hashes(t, settings.shingle, hashes) for t in texts[at : at + 256]]
+            at += len(sets)
+            sizes = np.array([len(x) for x in sets])
+            values = (np.concatenate(sets) >> np.uint64(32)).astype(np.uint32)
+            signature = signatures(values, np.cumsum(sizes) - sizes, settings.sharp).astype(np.uint8)
+            marks.extend(row.tobytes() for row in signature)
+            if len(hashes) > settings.cached_words:
+                hashes.clear()
+        return {"digest": batch.column("digest"), "marks": pa.array(marks, pa.binary())}
+
+    return map_batches(texts, transform, "digest binary, marks binary")
+
+
+def alike(group: dict[str, np.ndarray], best: int | None, settings: Settings) -> list[tuple[bytes, bytes]]:
+    """Pairs of one block pair of a band that may join two components: nodes outside its largest component with the others.
+
+    ``best`` limits them to so many of the most similar ones for each node.
+    """
+    component, n, digest = group["component"], group["n"], group["digest"]
+    share, coordinates = settings.percent / 100, group["marks"].shape[1]
+    least = share - settings.deviations * np.sqrt(share * (1 - share) / coordinates)
+    _, which, sizes = np.unique(component, return_inverse=True, return_counts=True)
+    rows = np.flatnonzero(which != sizes.argmax())
+    found = []
+    for lo in range(0, len(rows), 64):
+        x = rows[lo : lo + 64]
+        agree = np.empty((len(x), len(n)))
+        for at in range(0, len(n), 128):
+            agree[:, at : at + 128] = (group["marks"][x, None] == group["marks"][None, at : at + 128]).mean(axis=2)
+        small, large = np.minimum(n[x, None], n), np.maximum(n[x, None], n)
+        good = (which[x, None] != which) & (100 * small >= settings.percent * large) & (agree >= least)
+        if best is not None and len(n) > best:
+            agree = np.where(good, agree, 0)
+            good &= agree >= -np.partition(-agree, best - 1, axis=1)[:, best - 1 : best]
+        for i, j in zip(*np.nonzero(good), strict=True):
+            a, b = digest[x[i]], digest[j]
+            found.append((a, b) if a < b else (b, a))
+    return found
+
+
+def similar_pairs(opened: DataFrame, marks: DataFrame, best: int | None, settings: Settings) -> DataFrame:
+    """Candidates (a, b) among the rows (key, digest, n, component) of bands with several components; ``marks``: digest, marks.
+
+    A band with many nodes is cut into blocks and every pair of blocks is one group, so no task holds a whole band.
+    """
+    blocks = opened.groupBy("key").agg(F.ceil(F.count("*") / settings.block).cast("int").alias("blocks"))
+    rows = opened.join(blocks, "key").join(marks, "digest")
+    own = F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int")
+    rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    i, j = F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
+    rows = rows.select("key", i, j, "digest", "n", "component", "marks")
+    dealt = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+    def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            held = table if held is None else pa.concat_tables([held, table])
+            name = np.stack([held.column(c).to_numpy() for c in ("key", "i", "j")])
+            cuts = np.flatnonzero((name[:, 1:] != name[:, :-1]).any(axis=0)) + 1
+            for a, b in zip([0, *cuts[:-1]], cuts, strict=False):
+                yield held.slice(a, b - a)
+            held = held.slice(cuts[-1]) if len(cuts) else held
+        if held is not None and held.num_rows:
+            yield held
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in groups(batches):
+            group = {c: np.array(table.column(c).to_pylist(), object) for c in ("component", "digest")}
+            group["n"] = table.column("n").to_numpy()
+            marks = b"".join(table.column("marks").to_pylist())
+            group["marks"] = np.frombuffer(marks, np.uint8).reshape(table.num_rows, -1)
+            pairs = alike(group, best, settings)
+            if pairs:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*set(pairs), strict=True)], ["a", "b"])
+
+    return dealt.mapInArrow(run, "a binary, b binary").distinct()
+
+
 def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``docs`` (doc_id, text) to one row per document: doc_id, n_shingles, component_id, kept."""
     marked = staged_table(sketch(docs, settings), "minhash-sketch")
-    node = F.min(F.struct("doc_id", "text_hash", "n_shingles", "bands")).alias("r")
+    node = F.min(F.struct("doc_id", "text_hash", "n_shingles", "bands", "marks")).alias("r")
     sets = marked.filter("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("first_id"), node)
     sets = staged_table(sets.select("digest", "first_id", "r.*"), "minhash-sets")
 
@@ -198,32 +292,32 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     texts = staged_table(texts.select("digest", "text").dropDuplicates(["digest"]), "minhash-texts")
 
     similar = F.expr(f"100 * least(n, m) >= {settings.percent} * greatest(n, m)")
-    tested, links, opened = [], [], members.withColumn("component", F.col("digest"))
-    for attempt in range(settings.star_rounds + 1):
-        if attempt < settings.star_rounds:
-            rank = F.struct(F.xxhash64(F.lit(attempt), "digest"), "digest", "n", "component")
-            leaders = opened.groupBy("key").agg(F.min(rank).alias("l"))
-            leaders = leaders.select("key", F.col("l.digest").alias("a"), F.col("l.n").alias("m"), F.col("l.component").alias("k"))
-        else:
-            leaders = opened.select("key", F.col("digest").alias("a"), F.col("n").alias("m"), F.col("component").alias("k"))
-        pairs = opened.join(leaders, "key").filter(similar)
-        pairs = pairs.filter("component < k" if attempt == settings.star_rounds else "component <> k").select("a", F.col("digest").alias("b"))
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        for earlier in tested:
-            pairs = pairs.join(earlier, ["a", "b"], "left_anti")
+    leaders = members.groupBy("key").agg(F.min(F.struct("digest", "n")).alias("l"))
+    leaders = leaders.select("key", F.col("l.digest").alias("a"), F.col("l.n").alias("m"))
+    pairs = members.join(leaders, "key").filter(similar & (F.col("digest") > F.col("a")))
+    pairs = pairs.select("a", F.col("digest").alias("b")).distinct()
+    tested, links = None, None
+    for step in ("leaders", "best", "all"):
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = staged_table(pairs, "minhash-pairs")
-        tested.append(pairs)
-        links.append(staged_table(confirm(pairs, texts, settings), "minhash-links"))
-        every = links[0]
-        for more in links[1:]:
-            every = every.union(more)
-        component = staged_table(connected_components(every), "minhash-components")
+        found = staged_table(confirm(pairs, texts, settings), "minhash-links")
+        tested = pairs if tested is None else tested.union(pairs)
+        links = found if links is None else links.union(found)
+        component = staged_table(connected_components(links), "minhash-components")
+        if step == "all":
+            break
         opened = members.join(component, members.digest == component.node, "left")
         opened = opened.select("key", "digest", "n", F.coalesce("component", "digest").alias("component"))
         mixed = opened.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y")
         opened = staged_table(opened.join(mixed.select("key"), "key"), "minhash-open")
         if opened.isEmpty():
             break
+        if step == "leaders":
+            pairs = similar_pairs(opened, sets.select("digest", "marks"), settings.best, settings)
+        else:
+            still = texts.join(opened.select("digest").distinct(), "digest")
+            pairs = similar_pairs(opened, staged_table(sharper(still, settings), "minhash-sharp"), None, settings)
 
     node = sets.join(component, sets.digest == component.node, "left")
     node = node.select("digest", "first_id", F.coalesce("component", "digest").alias("component"))
