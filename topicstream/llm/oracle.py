@@ -1,5 +1,7 @@
 """SQL counterparts of the training-data queries that SQL can express."""
 
+from topicstream.llm.spotsigs import ANCHORS, COMMON
+
 ORACLE: dict[str, str] = {}
 
 BASE32 = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'"
@@ -29,3 +31,48 @@ WITH a AS (
   SELECT page_id, url, trim(regexp_replace(body, '\s+', ' ', 'g')) AS text FROM e
 )
 SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM t"""
+
+
+def _listed(words: list[str]) -> str:
+    return ", ".join(f"'{w}'" for w in words)
+
+
+ORACLE["op7_spotsigs"] = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n FROM documents),
+o AS (
+  SELECT *, coalesce(lead(doc_id) OVER (ORDER BY doc_id DESC), max(doc_id) OVER ()) AS next_id FROM d
+), e AS (
+  SELECT o.doc_id, o.text, o.n, o.next_id, substr(o.text, 1, o.n - o.n // 3) || substr(x.text, 1, o.n // 3) AS edited
+  FROM o JOIN d x ON x.doc_id = o.next_id
+), t AS (SELECT doc_id, 0 AS kind, text FROM e UNION ALL SELECT doc_id, 1, edited FROM e),
+a AS (SELECT doc_id, kind, list_filter(regexp_split_to_array(lower(text), '[^\p{{L}}\p{{N}}]+'), lambda w: w <> '') AS ws FROM t),
+w AS (SELECT doc_id, kind, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos FROM a),
+m AS (
+  SELECT *, word IN ({_listed(ANCHORS)}) AS anchor, word IN ({_listed([*ANCHORS, *COMMON])}) AS common FROM w
+), k AS (
+  SELECT *, sum(CASE WHEN common THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id, kind ORDER BY pos) AS k FROM m
+), c AS (SELECT doc_id, kind, k, word FROM k WHERE NOT common),
+s AS (
+  SELECT x.doc_id, x.kind, x.word || ':' || c1.word || coalesce(':' || c2.word, '') AS spot
+  FROM k x JOIN c c1 ON c1.doc_id = x.doc_id AND c1.kind = x.kind AND c1.k = x.k + 1
+  LEFT JOIN c c2 ON c2.doc_id = x.doc_id AND c2.kind = x.kind AND c2.k = x.k + 2
+  WHERE x.anchor
+), spotted AS (SELECT DISTINCT doc_id, kind FROM s),
+worded AS (SELECT DISTINCT doc_id, kind FROM w),
+keys AS (
+  SELECT DISTINCT doc_id, kind, spot FROM s
+  UNION ALL SELECT DISTINCT doc_id, kind, word FROM w ANTI JOIN spotted USING (doc_id, kind)
+  UNION ALL SELECT doc_id, kind, text FROM t ANTI JOIN worded USING (doc_id, kind)
+), f AS (
+  SELECT doc_id, kind, list_sort(list(('0x' || substr(md5(spot), 1, 15))::BIGINT)) AS spots FROM keys GROUP BY ALL
+), j AS (
+  SELECT e.doc_id, e.n, e.edited, f.spots AS own, g.spots AS edit, h.spots AS nxt,
+         len(list_intersect(f.spots, g.spots)) AS ce, len(list_intersect(f.spots, h.spots)) AS cn
+  FROM e JOIN f ON f.doc_id = e.doc_id AND f.kind = 0
+  JOIN f g ON g.doc_id = e.doc_id AND g.kind = 1
+  JOIN f h ON h.doc_id = e.next_id AND h.kind = 0
+)
+SELECT doc_id, n::BIGINT AS n_chars, sha256(edited) AS edited_sha256,
+       array_to_string(own, ' ') AS fingerprint, array_to_string(edit, ' ') AS edited_fingerprint,
+       ce::DOUBLE / (len(own) + len(edit) - ce) AS near_edited, cn::DOUBLE / (len(own) + len(nxt) - cn) AS near_next
+FROM j"""

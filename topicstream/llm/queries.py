@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicstream.llm import bloom_lm, html_text, langid, minhash, packing, quality, warc
+from topicstream.llm import bloom_lm, html_text, langid, minhash, packing, quality, spotsigs, warc
 from topicstream.llm.common import id_remainder, prepare, table, vocabulary
 from topicstream.session import staged_table
 
@@ -51,6 +51,12 @@ def op6_line_block_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+@query
+def op7_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint against its edited text and the next document."""
+    return spotsigs.compared(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's language, learned from rows with crc32(doc_id) mod 4 other than 2."""
