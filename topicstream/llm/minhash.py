@@ -213,7 +213,7 @@ def sharper(texts: DataFrame, settings: Settings) -> DataFrame:
 def alike(group: dict[str, np.ndarray], best: int | None, settings: Settings) -> list[tuple[bytes, bytes]]:
     """Pairs of one block pair of a band that may join two components: nodes outside its largest component with the others.
 
-    ``best`` limits them to so many of the most similar ones for each node.
+    ``best`` limits them to so many of the most similar ones for each node. A pair counts in the first band it shares only.
     """
     component, n, digest = group["component"], group["n"], group["digest"]
     share, coordinates = settings.percent / 100, group["marks"].shape[1]
@@ -231,14 +231,17 @@ def alike(group: dict[str, np.ndarray], best: int | None, settings: Settings) ->
         if best is not None and len(n) > best:
             agree = np.where(good, agree, 0)
             good &= agree >= -np.partition(-agree, best - 1, axis=1)[:, best - 1 : best]
-        for i, j in zip(*np.nonzero(good), strict=True):
+        i, j = np.nonzero(good)
+        shared = group["bands"][x[i]] == group["bands"][j]
+        here = group["bands"][j, shared.argmax(axis=1)] == group["key"]
+        for i, j in zip(i[here], j[here], strict=True):
             a, b = digest[x[i]], digest[j]
             found.append((a, b) if a < b else (b, a))
     return found
 
 
 def similar_pairs(opened: DataFrame, marks: DataFrame, best: int | None, settings: Settings) -> DataFrame:
-    """Candidates (a, b) among the rows (key, digest, n, component) of bands with several components; ``marks``: digest, marks.
+    """Candidates (a, b) among the rows (key, digest, n, component) of bands with several components; ``marks``: digest, marks, bands.
 
     A band with many nodes is cut into blocks and every pair of blocks is one group, so no task holds a whole band.
     """
@@ -247,7 +250,7 @@ def similar_pairs(opened: DataFrame, marks: DataFrame, best: int | None, setting
     own = F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int")
     rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     i, j = F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
-    rows = rows.select("key", i, j, "digest", "n", "component", "marks")
+    rows = rows.select("key", i, j, "digest", "n", "component", "marks", "bands")
     dealt = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
 
     def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -269,6 +272,8 @@ def similar_pairs(opened: DataFrame, marks: DataFrame, best: int | None, setting
             group["n"] = table.column("n").to_numpy()
             marks = b"".join(table.column("marks").to_pylist())
             group["marks"] = np.frombuffer(marks, np.uint8).reshape(table.num_rows, -1)
+            bands = table.column("bands").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+            group["bands"], group["key"] = bands.reshape(table.num_rows, -1), table.column("key")[0].as_py()
             pairs = alike(group, best, settings)
             if pairs:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*set(pairs), strict=True)], ["a", "b"])
@@ -314,10 +319,11 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
         if opened.isEmpty():
             break
         if step == "leaders":
-            pairs = similar_pairs(opened, sets.select("digest", "marks"), settings.best, settings)
+            pairs = similar_pairs(opened, sets.select("digest", "marks", "bands"), settings.best, settings)
         else:
             still = texts.join(opened.select("digest").distinct(), "digest")
-            pairs = similar_pairs(opened, staged_table(sharper(still, settings), "minhash-sharp"), None, settings)
+            marks = staged_table(sharper(still, settings), "minhash-sharp").join(sets.select("digest", "bands"), "digest")
+            pairs = similar_pairs(opened, marks, None, settings)
 
     node = sets.join(component, sets.digest == component.node, "left")
     node = node.select("digest", "first_id", F.coalesce("component", "digest").alias("component"))
