@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicstream.llm import bloom_lm, html_text, langid, minhash, packing, pq, quality, spotsigs, warc
+from topicstream.llm import bloom_lm, html_text, langid, minhash, packing, pieces, pq, quality, spotsigs, warc
 from topicstream.llm.common import id_remainder, prepare, table, vocabulary
 from topicstream.session import staged_table
 
@@ -29,6 +29,12 @@ def op1_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@query
+def op2_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded with merge-dropout and decoded again."""
+    return pieces.round_trip(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
 @query
 def op3_product_quantised_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate embeddings within a label, cosine 0.98 or more."""
