@@ -122,7 +122,7 @@ class ArchiveWriter:
         self.path = f"{folder}/{uuid.uuid4().hex}.warc.zst"
         files, place = pyarrow.fs.FileSystem.from_uri(self.path)
         files.create_dir(place.rpartition("/")[0], recursive=True)
-        self.out = files.open_output_stream(place)
+        self.out = files.open_output_stream(place, compression=None)  # the name must not add a layer
         dictionary = build_dictionary(samples, settings.dictionary_bytes)
         content = dictionary.as_bytes()
         self.out.write(struct.pack("<II", DICTIONARY_MAGIC, len(content)) + content)
@@ -142,7 +142,7 @@ class ArchiveWriter:
 def read_frames(path: str, chunk: int = 65536) -> Iterator[bytes]:
     """The records of one archive in order, in memory of one record and one chunk."""
     files, place = pyarrow.fs.FileSystem.from_uri(path)
-    with files.open_input_stream(place) as source:
+    with files.open_input_stream(place, compression=None) as source:
         magic, size = struct.unpack("<II", source.read(8))
         if magic != DICTIONARY_MAGIC:
             raise ValueError(f"{path} has no dictionary frame")
