@@ -264,7 +264,7 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         split = [self.units(t) for t in texts]
-        lengths = np.array([len(x) for x in split])
+        lengths = np.fromiter(map(len, split), np.int64, len(split))
         total = int(lengths.sum())
         keys = np.array([xxhash.xxh3_64_intdigest(t.encode(), seed=self.settings.seed) for t in texts], np.uint64)
         place = np.arange(total) - np.repeat(np.cumsum(lengths) - lengths, lengths)
