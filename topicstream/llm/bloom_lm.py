@@ -43,7 +43,7 @@ class Settings:
     least_bytes: int = 1 << 21
     most_bytes: int = 1 << 26  # bound of the broadcast
     text_share: int = 8  # the filter is meant to be so many times smaller than the texts
-    block_bytes: int = 8 << 20
+    block_bytes: int = 5 << 20
     run_tokens: int = 1_500_000
     mass: float = 8.0
     cached_words: int = 200_000
@@ -212,7 +212,7 @@ def score(docs: DataFrame, model: Model, keep: list[str], settings: Settings = S
     """``keep`` columns plus n_tokens, n_known, train_tokens, base_score and score of every text."""
     blocks = max(1, -(-text_volume(docs, "text") // settings.block_bytes))
     block = F.pmod(F.xxhash64("text", *keep), F.lit(blocks)).alias("block")
-    dealt = docs.select(block, *keep, "text").repartition("block")
+    dealt = docs.select(block, *keep, "text").repartition(blocks, "block")
     parts, N, V, documents, bloom = model.parts, model.tokens, model.distinct, model.documents, model.bloom
 
     def streams(table: pa.Table) -> list[np.ndarray]:
