@@ -38,8 +38,22 @@ def test_quotes_at_any_depth(spark):
     assert got["text"] == "a @QUOTED: b @QUOTED: c @QUOTED: d" and got["timestamp"] == "1000"
     assert (got["user_name"], got["followers_count"], got["hashtags"], got["urls"]) == ("inner", 5, "x,y", None)
     assert rows[745000000000000123]["hashtags"] is None
-    limited = {r["id"]: r["level"] for r in raw.flatten_quotes(parsed(spark, chain, plain), depth=1).collect()}
-    assert limited == {1: -1, 745000000000000123: 0}
+
+
+def test_thirty_quotes_and_keys_in_texts(spark):
+    chain = post(99, 'the "quoted_status": {{{ of it')
+    for n in range(30):
+        chain = post(n, f"t{n}", quoted_status=chain)
+    none = post(500, "x", quoted_status=None)
+    rows = {r["id"]: r for r in raw.flatten_quotes(parsed(spark, chain, none)).collect()}
+    assert rows[29]["level"] == 30 and rows[500]["level"] == 0 and rows[500]["text"] == "x"
+    assert rows[29]["text"].split(raw.QUOTE_MARK) == [f"t{n}" for n in range(29, -1, -1)] + ['the "quoted_status": {{{ of it']
+
+
+def test_mentions_are_those_of_the_record_itself(spark):
+    said = lambda *names: {"user_mentions": [{"screen_name": n} for n in names]}
+    rows = parsed(spark, post(1, "a", entities=said("outer"), quoted_status=post(2, "b", entities=said("inner")) | {"lang": "de"}), post(3, "c"))
+    assert {r["record_id"]: r["mentions"] for r in raw.own_entities(rows).select(F.try_variant_get("record", "$.id", "bigint").alias("record_id"), "mentions").collect()} == {1: ["outer"], 3: None}
 
 
 def test_read_posts(spark):
@@ -54,6 +68,8 @@ def test_first_row_of_an_id_is_kept(spark):
     new = spark.createDataFrame([(1, "late", 5), (1, "first", 2), (2, "x", 1), (3, "y", 3)], "id long, text string, seq long")
     stored = spark.createDataFrame([(3,)], "id long")
     assert {(r["id"], r["text"]) for r in raw.upsert_posts(new, "seq", stored).collect()} == {(1, "first"), (2, "x")}
+    tied = spark.createDataFrame([(1, "b", 5), (1, "a", 5), (1, "a", 5)], "id long, text string, seq long")
+    assert [(r["id"], r["text"]) for r in raw.upsert_posts(tied, "seq").collect()] == [(1, "a")]
 
 
 def test_terms(spark):

@@ -150,7 +150,7 @@ def bucket_counts(tokens: Column, dims: int = 100) -> Column:
         offsets = pa.array(np.arange(0, len(counts) + 1, dims), pa.int32())
         return pa.ListArray.from_arrays(offsets, pa.array(counts))
 
-    return count(tokens)
+    return count(F.coalesce(tokens, F.array().cast("array<string>")))  # no text has no words
 
 
 def clean_text(text: Column) -> Column:

@@ -34,8 +34,8 @@ def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """English documents as posts; the number of the source serves as a given cluster."""
-    docs = texts(spark, sf_dir, "documents").filter(F.col("lang") == "en")
+    """All documents as posts; the number of the source serves as a given cluster."""
+    docs = texts(spark, sf_dir, "documents")
     return docs.select(
         F.col("doc_id").alias("id"),
         "text",
@@ -164,32 +164,39 @@ def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def thread_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversation turns as raw lines; a turn quotes the turn before it, which quotes the one before."""
-    turns = texts(spark, sf_dir, "conversations")
-
-    def post(t: str, *quoted):
-        lang = F.when(F.col(f"{t}.role") == "system", "xx").otherwise("en")
-        return F.struct(
-            (F.col(f"{t}.conv_id") * 1000 + F.col(f"{t}.turn")).alias("id"),
-            F.col(f"{t}.text").alias("text"),
-            lang.alias("lang"),
-            F.col(f"{t}.turn").cast("string").alias("timestamp_ms"),
-            F.struct(F.col(f"{t}.role").alias("screen_name")).alias("user"),
-            *[q.alias("quoted_status") for q in quoted],
+    """Conversations as raw lines: the last turn quotes the turn before it, and so on back to the first.
+
+    Every conversation comes twice, once with its system turns in a language that is not followed, once all in English.
+    """
+    turns = texts(spark, sf_dir, "conversations").withColumn("plain", F.explode(F.array(F.lit(False), F.lit(True))))
+    thread = turns.groupBy("conv_id", "plain").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
+
+    def nest(quoted, turn):
+        lang = F.when((turn["role"] == "system") & ~F.col("plain"), "xx").otherwise("en")
+        post = F.to_json(
+            F.struct(
+                (F.col("conv_id") * 1000 + turn["turn"] + F.when(F.col("plain"), 500).otherwise(0)).alias("id"),
+                turn["text"].alias("text"),
+                lang.alias("lang"),
+                turn["turn"].cast("string").alias("timestamp_ms"),
+                F.struct(turn["role"].alias("screen_name")).alias("user"),
+            )
         )
+        opened = F.substring(post, F.lit(1), F.length(post) - 1)
+        return F.concat(opened, F.when(quoted == "", "").otherwise(F.concat(F.lit(',"quoted_status":'), quoted)), F.lit("}"))
+
+    return staged_table(thread.select(F.aggregate("turns", F.lit(""), nest).alias("raw")), "raw-threads")
 
-    def before(later: str, earlier: str):
-        same = F.col(f"{later}.conv_id") == F.col(f"{earlier}.conv_id")
-        return same & (F.col(f"{later}.turn") == F.col(f"{earlier}.turn") + 1)
 
-    rows = turns.alias("a").join(turns.alias("b"), before("a", "b"), "left")
-    rows = rows.join(turns.alias("c"), before("b", "c"), "left")
-    line = (
-        F.when(F.col("b.turn").isNull(), F.to_json(post("a")))
-        .when(F.col("c.turn").isNull(), F.to_json(post("a", post("b"))))
-        .otherwise(F.to_json(post("a", post("b", post("c")))))
+def quoting_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw event lines, each quoting a post with a mention of its own; every other quote is not English."""
+    lines = raw_records(spark, sf_dir)
+    lang = F.when(F.pmod(F.crc32(F.col("raw").cast("binary")), F.lit(2)) == 0, "en").otherwise("de")
+    inner = F.concat(
+        F.lit('{"id":1,"text":"quoted","lang":"'), lang, F.lit('","entities":{"user_mentions":[{"screen_name":"inner"}]}}')
     )
-    return staged_table(rows.select(line.alias("raw")), "raw-threads")
+    body = F.substring(F.col("raw"), F.lit(1), F.length("raw") - 1)
+    return lines.select(F.concat(body, F.lit(',"quoted_status":'), inner, F.lit("}")).alias("raw"))
 
 
 def post_lines(spark: SparkSession, sf_dir: str) -> str:

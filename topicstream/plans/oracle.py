@@ -54,7 +54,7 @@ def _bucket(dims: int) -> str:
 ALL_DOCS = "docs AS (SELECT doc_id AS id, text, lang, source, n_chars FROM documents)"
 POSTS = (
     "posts AS (SELECT doc_id AS id, text, regexp_extract(source, '(\\d+)', 1)::BIGINT AS source "
-    "FROM documents WHERE lang = 'en')"
+    "FROM documents)"
 )
 TOKENS = f"""{POSTS},
 raw_words AS (SELECT id, unnest({SPLIT}) AS w FROM posts),
@@ -228,13 +228,12 @@ ORACLE = {
     "WHERE cluster_id IS NOT NULL GROUP BY batch_id, cluster_id",
     # records
     "drop_control_records": "SELECT event_id AS id FROM events WHERE event_type <> 'error'",
-    "flatten_quotes": """SELECT a.conv_id * 1000 + a.turn AS id,
-  a.text || coalesce(' @QUOTED: ' || b.text, '') || coalesce(' @QUOTED: ' || c.text, '') AS text,
-  a.turn::VARCHAR AS timestamp_ms, ((b.turn IS NOT NULL)::INT + (c.turn IS NOT NULL)::INT)::BIGINT AS level,
-  coalesce(c.role, b.role, a.role) AS author
-FROM conversations a LEFT JOIN conversations b ON b.conv_id = a.conv_id AND b.turn = a.turn - 1
-LEFT JOIN conversations c ON c.conv_id = b.conv_id AND c.turn = b.turn - 1
-WHERE coalesce(b.role, '') <> 'system' AND coalesce(c.role, '') <> 'system'""",
+    "flatten_quotes": """WITH t AS (SELECT *, row_number() OVER (PARTITION BY conv_id, plain ORDER BY turn DESC, role DESC, text DESC) AS back
+  FROM conversations, (VALUES (false), (true)) p(plain)),
+f AS (SELECT conv_id, plain, max(turn) AS last, count(*) - 1 AS level, string_agg(text, ' @QUOTED: ' ORDER BY back) AS text,
+  arg_max(role, back) AS author, count(*) FILTER (back > 1 AND role = 'system' AND NOT plain) AS other FROM t GROUP BY conv_id, plain)
+SELECT conv_id * 1000 + last + CASE WHEN plain THEN 500 ELSE 0 END AS id, text, last::VARCHAR AS timestamp_ms, level, author
+FROM f WHERE other = 0""",
     "extract_entities": f"WITH {EVENT_POSTS} SELECT id, hashtags, NULL::VARCHAR AS urls, mention AS mentions FROM kept",
     "project_post": f"WITH {EVENT_POSTS} SELECT id, text, author_id AS user_id, author AS user_name, followers AS followers_count, "
     "hashtags, NULL::VARCHAR AS urls, timestamp_ms AS timestamp, mention AS user_mentions FROM kept",
@@ -316,7 +315,7 @@ per_post AS (SELECT source, id, sum(c) AS hits FROM counts JOIN per_word USING (
 sizes AS (SELECT source, count(*) AS size FROM posts GROUP BY source)
 SELECT source AS cluster_id, round(coalesce(sum(hits / total), 0) / any_value(size), 6) AS score, any_value(size) AS size
 FROM sizes LEFT JOIN per_post USING (source) LEFT JOIN totals USING (source) WHERE size > 1 GROUP BY source""",
-    "top_cohesion": f"""WITH {GROUPS.replace("FROM documents)", "FROM documents WHERE lang = 'en')", 1)},
+    "top_cohesion": f"""WITH {GROUPS},
 firsts AS (SELECT d.id, regexp_extract(source, '(\\d+)', 1)::BIGINT AS cluster_id, text, copies - 1 AS duplicates
   FROM docs d JOIN groups g ON g.id = d.id WHERE g.id = rep_id),
 words AS (SELECT DISTINCT id, cluster_id, word FROM (SELECT id, cluster_id,

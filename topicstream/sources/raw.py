@@ -34,54 +34,55 @@ def drop_control_records(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col("record").isNotNull() & ~F.coalesce(is_control, F.lit(False)))
 
 
-def quote_depth(parsed: DataFrame) -> int:
-    """An upper bound of the nesting of quotes in ``parsed``, from one aggregation over the lines."""
-    marks = F.regexp_count("raw", F.lit(r'"quoted_status"\s*:'))
-    return parsed.agg(F.max(marks)).head()[0] or 0
-
-
-def flatten_quotes(parsed: DataFrame, depth: int | None = None) -> DataFrame:
+def flatten_quotes(parsed: DataFrame) -> DataFrame:
     """Follow ``quoted_status``: id and time of the outer post, all texts in order, and user and entities
     of the innermost post. A post is dropped if any quoted post on the way is not English.
 
-    Adds ``id``, ``text``, ``timestamp_ms``, ``level``, ``user`` and ``entities``. Without ``depth`` the deepest
-    nesting is measured first, so that no record is too deep. On a stream, where that is not possible, pass
-    ``depth``; records nested deeper then get ``level`` -1 for the caller to keep apart.
+    Adds ``id``, ``text``, ``timestamp_ms``, ``level`` (the number of quotes followed), ``user`` and ``entities``. Every row is folded
+    by itself, one level a step, as deep as it is nested: every level needs an opening brace of its own, so the number
+    of braces bounds the steps, and steps past the last quote change nothing. The plan is the same for any depth.
     """
     record = F.col("record")
-    depth = quote_depth(parsed) if depth is None else depth
-
-    def at(level: int, field: str, kind: str) -> Column:
-        return F.try_variant_get(record, "$" + ".quoted_status" * level + "." + field, kind)
-
-    def exists(level: int) -> Column:
-        # a quote always has a text or an id; a null value is no quote
-        path = "$" + ".quoted_status" * level
-        return F.coalesce(F.schema_of_variant(F.try_variant_get(record, path, "variant")) != "VOID", F.lit(False))
-
-    level = F.lit(0)
-    english = F.lit(True)
-    text = at(0, "text", "string")
-    user, entities = at(0, "user", "variant"), at(0, "entities", "variant")
-    for n in range(1, depth + 1):
-        here = exists(n)
-        level = F.when(here, F.lit(n)).otherwise(level)
-        english = english & F.when(here, F.coalesce(at(n, "lang", "string") == "en", F.lit(False))).otherwise(True)
-        text = F.when(here, F.concat(text, F.lit(QUOTE_MARK), at(n, "text", "string"))).otherwise(text)
-        user = F.when(here, at(n, "user", "variant")).otherwise(user)
-        entities = F.when(here, at(n, "entities", "variant")).otherwise(entities)
-    level = F.when(exists(depth + 1), F.lit(-1)).otherwise(level)
-    return parsed.filter(english).select(
+
+    def quoted(post: Column) -> Column:
+        inner = F.try_variant_get(post, "$.quoted_status", "variant")
+        return F.when(~F.is_variant_null(inner), inner)  # a null value is no quote
+
+    def step(state: Column, _: Column) -> Column:
+        inner = quoted(state["post"])
+        is_english = F.coalesce(F.try_variant_get(inner, "$.lang", "string") == "en", F.lit(False))
+        deeper = F.struct(
+            inner.alias("post"),
+            F.concat(state["text"], F.lit(QUOTE_MARK), F.try_variant_get(inner, "$.text", "string")).alias("text"),
+            (state["level"] + 1).alias("level"),
+            (state["english"] & is_english).alias("english"),
+        )
+        return F.when(inner.isNull(), state).otherwise(deeper)
+
+    start = F.struct(
+        record.alias("post"),
+        F.try_variant_get(record, "$.text", "string").alias("text"),
+        F.lit(0).alias("level"),
+        F.lit(True).alias("english"),
+    )
+    braces = F.length("raw") - F.length(F.replace(F.col("raw"), F.lit("{"), F.lit("")))
+    rows = parsed.withColumn("_flat", F.aggregate(F.array_repeat(F.lit(0), braces), start, step))
+    return rows.filter("_flat.english").select(
         *parsed.columns,
-        at(0, "id", "bigint").alias("id"),
-        text.alias("text"),
-        at(0, "timestamp_ms", "string").alias("timestamp_ms"),
-        level.alias("level"),
-        user.alias("user"),
-        entities.alias("entities"),
+        F.try_variant_get(record, "$.id", "bigint").alias("id"),
+        F.col("_flat.text").alias("text"),
+        F.try_variant_get(record, "$.timestamp_ms", "string").alias("timestamp_ms"),
+        F.col("_flat.level").alias("level"),
+        F.try_variant_get("_flat.post", "$.user", "variant").alias("user"),
+        F.try_variant_get("_flat.post", "$.entities", "variant").alias("entities"),
     )
 
 
+def own_entities(parsed: DataFrame) -> DataFrame:
+    """Entity lists of the records themselves, whatever they quote."""
+    return extract_entities(parsed.withColumn("entities", F.try_variant_get("record", "$.entities", "variant")))
+
+
 def extract_entities(flat: DataFrame) -> DataFrame:
     """Adds ``hashtags``, ``urls`` and ``mentions``; null where a post has none."""
 
@@ -114,16 +115,19 @@ def project_post(flat: DataFrame) -> DataFrame:
     )
 
 
-def collect_posts(parsed: DataFrame, depth: int | None = None) -> DataFrame:
+def collect_posts(parsed: DataFrame) -> DataFrame:
     """Raw records to collected lines: control filter, quotes, entities, projection."""
-    return project_post(extract_entities(flatten_quotes(drop_control_records(parsed), depth)))
+    return project_post(extract_entities(flatten_quotes(drop_control_records(parsed))))
+
+
+def first_per_id(rows: DataFrame, *order: str) -> DataFrame:
+    """One row per id: the least by the ``order`` columns and then by all others, so the choice never depends on the layout."""
+    rest = [c for c in rows.columns if c not in ("id", *order)]
+    return rows.groupBy("id").agg(F.min(F.struct(*order, *rest)).alias("r")).select("id", *[f"r.{c}" for c in rows.columns if c != "id"])
 
 
 def upsert_posts(new: DataFrame, arrival: str, stored: DataFrame | None = None) -> DataFrame:
-    """First row per id by the ``arrival`` column; ids that are stored already are ignored."""
-    columns = [c for c in new.columns if c != "id"]
-    # the first arrival is found on two numbers per row; whole rows are only matched with the result
-    first = new.groupBy("id").agg(F.min(arrival).alias(arrival))
+    """First row per id by the ``arrival`` column, ties by content; ids that are stored already are ignored."""
     if stored is not None:
-        first = first.join(stored.select("id"), "id", "left_anti")
-    return new.join(first, ["id", arrival], "left_semi").select("id", *columns)
+        new = new.join(stored.select("id"), "id", "left_anti")
+    return first_per_id(new, arrival)
