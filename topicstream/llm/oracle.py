@@ -19,6 +19,41 @@ SELECT page_id, payload_bytes, {_DIGITS} AS payload_digest,
        CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
 FROM f"""
 
+# Components: the smallest id reachable, by the links found in either direction.
+_REACHED = """
+r AS (SELECT a AS node, a AS seen FROM l UNION SELECT r.node, l.b FROM r JOIN l ON l.a = r.seen),
+m AS (SELECT node, min(seen) AS least FROM r GROUP BY node)"""
+
+ORACLE["op3_product_quantised_dedup"] = f"""
+WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings),
+u AS (
+  SELECT * FROM v WHERE label IS NOT NULL AND x IS NOT NULL AND len(list_filter(x, lambda e: e IS NULL OR NOT isfinite(e))) = 0
+    AND len(list_filter(x, lambda e: e <> 0)) > 0
+), l AS (
+  SELECT p.vec_id AS a, q.vec_id AS b FROM u p JOIN u q ON p.label = q.label AND p.vec_id <> q.vec_id AND len(p.x) = len(q.x)
+  WHERE list_dot_product(p.x, q.x) / (sqrt(list_dot_product(p.x, p.x)) * sqrt(list_dot_product(q.x, q.x))) >= 0.98
+), n AS (SELECT a, count(*) AS n FROM l GROUP BY a), {_REACHED}
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(least(least, vec_id), vec_id) AS component_id,
+       coalesce(least(least, vec_id), vec_id) = vec_id AS kept
+FROM v LEFT JOIN n ON n.a = vec_id LEFT JOIN m ON m.node = vec_id"""
+
+ORACLE["op4_minhash_near_dedup"] = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN w
+    ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s
+  FROM w
+), e AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM s),
+l AS (
+  SELECT p.doc_id AS a, q.doc_id AS b FROM e p JOIN e q ON p.shingle = q.shingle AND p.doc_id <> q.doc_id
+  GROUP BY p.doc_id, q.doc_id, p.n, q.n HAVING 100 * count(*) >= 80 * (p.n + q.n - count(*))
+), {_REACHED}
+SELECT doc_id, len(s)::BIGINT AS n_shingles, coalesce(least(least, doc_id), doc_id) AS component_id,
+       coalesce(least(least, doc_id), doc_id) = doc_id AS kept
+FROM s LEFT JOIN m ON m.node = doc_id"""
+
 # The given pages mark their article, so its blocks are the main text.
 ORACLE["op6_line_block_html"] = r"""
 WITH a AS (
