@@ -99,6 +99,16 @@ def test_snapshot_is_keyed_by_its_source(spark):
     other = src.prepared_snapshot(spark.range(100, 110), root, "two", 2, 3)
     assert sorted(r["id"] for r in first.collect()) == sorted(r["id"] for r in again.collect()) == list(range(6))
     assert sorted(r["id"] for r in other.collect()) == list(range(100, 106))
+    turned = src.prepared_snapshot(spark.range(10).withColumn("back", -F.col("id")), root, "one", 2, 3, "back")
+    assert sorted(r["id"] for r in turned.collect()) == list(range(4, 10))
+
+
+def test_snapshot_of_a_failed_write(spark, tmp_path):
+    first = src.prepared_snapshot(spark.range(10), str(tmp_path), "one", 2, 3)
+    (folder,) = tmp_path.iterdir()
+    (folder / "_SUCCESS").rename(folder / "_lost")
+    again = src.prepared_snapshot(spark.range(100, 110), str(tmp_path), "one", 2, 3)
+    assert sorted(r["id"] for r in again.collect()) == list(range(100, 106)) and first.columns == again.columns
 
 
 def test_look_up_with_hot_keys(spark):

@@ -153,6 +153,20 @@ def bucket_counts(tokens: Column, dims: int = 100) -> Column:
     return count(F.coalesce(tokens, F.array().cast("array<string>")))  # no text has no words
 
 
+def token_hash_buckets(tokens: Column, dims: int = 100) -> Column:
+    """The hash bucket of every token, hashed once per distinct word of an Arrow batch."""
+
+    @F.arrow_udf("array<int>")
+    def buckets(lists: pa.Array) -> pa.Array:
+        words = lists.flatten().dictionary_encode()
+        bucket = np.mod(java_hashes(words.dictionary.to_pylist()), dims).astype(np.int32)
+        ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+        offsets = pa.array(np.concatenate([[0], ends]), pa.int32())
+        return pa.ListArray.from_arrays(offsets, pa.array(bucket[words.indices.to_numpy()]))
+
+    return buckets(F.coalesce(tokens, F.array().cast("array<string>")))
+
+
 def clean_text(text: Column) -> Column:
     """Remove links, cut-off links at the end and mentions."""
     return F.regexp_replace(text, LINKS_AND_MENTIONS, "")

@@ -69,8 +69,9 @@ def tfidf_l2(
     total = posts.agg(F.count("*")).scalar()
     df = counts.groupBy("word").agg(F.count("*").alias("df"))
     df = df.withColumn("m", total).filter((F.col("df") >= min_df) & (F.col("df") <= max_df * F.col("m")))
-    idf = df.select("word", (F.log((1 + F.col("m")) / (1 + F.col("df"))) + 1).alias("idf"))
-    raw = counts.join(idf, "word").select("id", "word", (F.col("n") * F.col("idf")).alias("w"))
+    idf = df.select("word", "df", (F.log((1 + F.col("m")) / (1 + F.col("df"))) + 1).alias("idf"))
+    weighted = join_per_key(counts, idf, "word", "df", "id")
+    raw = weighted.select("id", "word", (F.col("n") * F.col("idf")).alias("w"))
     # a window over the words of one post, whose number is bounded by the post's text
     length = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy("id")))
     return raw.withColumn("w", F.col("w") / length)

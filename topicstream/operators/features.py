@@ -11,7 +11,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topicstream.functions.text import bucket_counts, hash_bucket, post_tokens
+from topicstream.functions.text import bucket_counts, hash_bucket, post_tokens, token_hash_buckets
 from topicstream.functions.vectors import vector_sum
 from topicstream.session import staged_table
 
@@ -70,8 +70,8 @@ def idf_weight(posts: DataFrame, dims: int = 100) -> DataFrame:
 
 def token_buckets(cleaned: DataFrame, dims: int = 100) -> DataFrame:
     """One row per token: the input's ``id`` and other columns, ``word`` and ``bucket``."""
-    rows = cleaned.withColumn("word", F.explode("tokens")).drop("tokens")
-    return rows.withColumn("bucket", hash_bucket(F.col("word"), dims))
+    pairs = F.arrays_zip(F.col("tokens").alias("word"), token_hash_buckets(F.col("tokens"), dims).alias("bucket"))
+    return cleaned.select("*", F.inline(pairs)).drop("tokens")
 
 
 def collision_map(cleaned: DataFrame, dims: int = 100) -> DataFrame:

@@ -49,9 +49,11 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
+    app = spark.sparkContext.applicationId
+    if app not in _local_roots and spark.sparkContext.getCheckpointDir():
+        return spark.sparkContext.getCheckpointDir()  # set on the context, for all executors to see
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    app = spark.sparkContext.applicationId
     if app not in _local_roots:
         _local_roots[app] = tempfile.mkdtemp(prefix="topicstream-")
     return _local_roots[app]
