@@ -159,3 +159,30 @@ def test_language_model_of_nothing(docs_of):
     got = bloom_lm.score(docs, model, ["doc_id"]).collect()
     assert [(r.train_tokens, r.base_score, r.score) for r in got] == [(0, 0.0, 0.0)] * 2
     assert bloom_lm.score(docs.limit(0), model, ["doc_id"]).count() == 0
+
+
+def test_filter_grows_with_its_entries_and_probes_end(docs_of):
+    rng = random.Random(6)
+    rows = [(i, " ".join(f"w{rng.randrange(4000)}" for _ in range(400))) for i in range(120)]
+    docs = docs_of(rows).select("doc_id", "text")
+    settings = bloom_lm.Settings(segments=4, least_bytes=64, block_bytes=30_000)
+    model = bloom_lm.fit(docs, F.lit(True), settings)
+    assert model.segments > settings.segments
+    rows = model.tables.filter(F.col("kind") == bloom_lm.PAIRS).collect()
+    assert len(rows) == model.segments
+    # at most half of the bits of any segment are set, whatever the volume
+    assert max(np.unpackbits(np.frombuffer(r["keys"], np.uint8)).mean() for r in rows) < 0.5
+    assert sum(len(r["keys"]) * 8 for r in rows) >= settings.entry_bits * 40_000
+    # held-out pairs are hardly ever taken for known ones: their score is that of the smoothed unigram
+    words = [f"w{rng.randrange(4000)}" for _ in range(400)]
+    got = bloom_lm.score(docs_of([(1, " ".join(words))]).select("doc_id", "text"), model, ["doc_id"], settings).head()
+    count, pairs = Counter(), Counter()
+    for r in docs.collect():
+        found = [*r.text.split(), None]
+        count.update(found), pairs.update(zip(["^", *found], found, strict=False))
+    count["^"], n, v = len(docs.collect()), sum(count.values()), len(count)
+    p = lambda w: (count[w] + 0.5) / (n + 0.5 * (v + 1))
+    want = sum(math.log10((pairs[a, b] + 8 * p(b)) / (count[a] + 8)) for a, b in zip(["^", *words], [*words, None], strict=True))
+    assert got.score == pytest.approx(want, rel=0.02)
+    full = np.full(1 << 8, 255, np.uint8)
+    assert list(bloom_lm.levels(np.arange(3, dtype=np.uint64), full, bloom_lm.Settings(segments=1), 7)) == [7] * 3
