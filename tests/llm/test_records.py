@@ -92,6 +92,23 @@ def test_main_text(html, text):
     assert main_text(html) == text
 
 
+AD = "<div class=ad>buy</div>"
+TITLE = "<h1>Short title</h1>"
+
+
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        (f"<article>{TITLE}<div class=share>x</div><p>{LONG * 20}</p>{AD}<h2>Next</h2>{AD}<p>End.</p></article>", f"Short title {LONG * 20} Next End."),
+        (f"<article><div><div>{TITLE}</div></div><div><p>{LONG * 20}</p></div></article>", f"Short title {LONG * 20}"),
+        (f"<p>{LONG * 9}</p>{AD}<h2>Next</h2>{AD}<p>{LONG * 9}</p>{AD}<p>Imprint</p>", f"{LONG * 9} Next {LONG * 9}"),
+        (f"<article><p>{LONG * 9}</p></article><article><p>Teaser</p></article>", LONG * 9),
+    ],
+)
+def test_short_stretches_of_an_article_stay(html, text):
+    assert main_text(html) == text
+
+
 def test_pages_with_nulls_and_repeats(llm):
     got = extract(page_table(llm, [(1, None, None), (1, "u", "<p>x"), (1, "u", "<p>x"), (None, "u", "")])).collect()
     assert sorted((r.page_id or 0, r.text, r.n_chars) for r in got) == [(0, "", 0), (1, "", 0), (1, "x", 1), (1, "x", 1)]

@@ -3,8 +3,8 @@
 Markup is stripped into lines, one per block-level element; scripts, forms, menus and other elements that say by tag, role or class that
 they are no article leave blank lines, and so do lines that are mostly links. The text lengths of ``window`` consecutive lines are
 summed. The main text begins where this sum surges from zero and ends where it dives back to zero; of the stretches found,
-those whose peak is far below the highest one are left out. All text between a surge and its dive is kept. If the page marks its article
-(``article``, ``main``), lines outside it count as blank.
+those before the first and after the last one whose peak is not far below the highest are left out. All text between a surge and its dive is
+kept. If the page marks its article (``article``, ``main``), lines outside it count as blank, and an article with one such peak is kept whole.
 
 Defined results: null or empty html, or html without text, gives an empty text. Markup that is cut off at the end is dropped,
 unclosed elements end with the page. Extra columns are ignored and repeated rows are extracted one by one.
@@ -60,7 +60,7 @@ class Settings:
 class Line:
     text: str
     linked: int
-    inside: bool
+    article: int  # number of the outermost article around it, 0 for none
 
 
 def is_other(name: str, attributes: str, in_article: bool) -> bool:
@@ -83,7 +83,7 @@ def page_lines(page: str, settings: Settings) -> list[Line]:
     lines: list[Line] = []
     parts: list[str] = []
     linked = links = 0
-    article = 0
+    article = articles = 0
     dropping: str | None = None  # name of the element being left out, and how many of the name are open
     depth = at = 0
 
@@ -91,8 +91,8 @@ def page_lines(page: str, settings: Settings) -> list[Line]:
         nonlocal linked
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            lines.append(Line(text, linked, article > 0))
-        lines.extend(Line("", 0, article > 0) for _ in range(gap))
+            lines.append(Line(text, linked, articles if article else 0))
+        lines.extend(Line("", 0, articles if article else 0) for _ in range(gap))
         parts.clear()
         linked = 0
 
@@ -142,13 +142,14 @@ def page_lines(page: str, settings: Settings) -> list[Line]:
         elif name not in INLINE:
             end_line(settings.window if name in ARTICLE else int(name in CONTAINER))
             links = 0
+            articles += name in ARTICLE and not article
             article += name in ARTICLE
     add(page[at:])
     end_line()
     return lines
 
 
-def stretches(sizes: list[int], settings: Settings) -> list[tuple[int, int]]:
+def stretches(sizes: list[int], articles: list[int], settings: Settings) -> list[tuple[int, int]]:
     """Surge and dive points: (first line, line after the last one) of every stretch that is kept."""
     window = settings.window
     found, start, peak = [], None, 0
@@ -167,17 +168,23 @@ def stretches(sizes: list[int], settings: Settings) -> list[tuple[int, int]]:
     if start is not None:
         found.append((start, len(sizes), peak))
     top = max((p for _, _, p in found), default=0)
-    return [(a, b) for a, b, p in found if p >= min(settings.enough, settings.peak_share * top)]
+    high = [k for k, (_, _, p) in enumerate(found) if p >= min(settings.enough, settings.peak_share * top)]
+    if any(articles):
+        whole = {articles[found[k][0]] for k in high}
+        return [(a, b) for a, b, _ in found if articles[a] in whole]
+    return [(a, b) for a, b, _ in found[high[0] : high[-1] + 1]] if high else []
 
 
 def main_text(page: str, settings: Settings = Settings()) -> str:
     """The main text of one page."""
     lines = page_lines(page, settings)
-    if any(x.inside and x.text for x in lines):
-        sizes = [len(x.text) if x.inside else 0 for x in lines]
+    articles = [x.article for x in lines]
+    if any(x.article and x.text for x in lines):
+        sizes = [len(x.text) if x.article else 0 for x in lines]
     else:
+        articles = [0] * len(lines)
         sizes = [len(x.text) if x.linked < settings.link_share * len(x.text) else 0 for x in lines]
-    return " ".join(x.text for a, b in stretches(sizes, settings) for x, n in zip(lines[a:b], sizes[a:b], strict=True) if n)
+    return " ".join(x.text for a, b in stretches(sizes, articles, settings) for x, n in zip(lines[a:b], sizes[a:b], strict=True) if n)
 
 
 def extract(pages: DataFrame, settings: Settings = Settings()) -> DataFrame:
