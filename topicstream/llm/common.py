@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -66,6 +67,24 @@ def to_batch(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([a if a.type == f.type else a.cast(f.type) for a, f in zip(arrays, schema, strict=True)], schema=schema)
 
 
+# What stands between words of digits, lower-case letters and characters beyond ASCII: 00-2F, 3A-60 and 7B-7F.
+SEPARATORS = bytes([*range(0x00, 0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)])
+TO_SPACE = bytes.maketrans(SEPARATORS, b" " * len(SEPARATORS))
+SEPARATOR = re.compile(b"[%s]" % re.escape(SEPARATORS))
+
+
+def lowered_pieces(text: bytes, size: int) -> Iterator[bytes]:
+    """The whole text with A-Z lower-cased, in pieces of about ``size`` bytes that end behind a separator, so no word is cut."""
+    text, at = text.lower(), 0
+    while len(text) - at > size:
+        found = SEPARATOR.search(text, at + size)
+        if found is None:
+            break
+        yield text[at : found.end()]
+        at = found.end()
+    yield text[at:]
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit words: two xor-shift-multiply rounds."""
     x = x ^ (x >> np.uint64(32))

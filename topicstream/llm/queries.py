@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from topicstream.llm import bloom_lm, html_text, langid, minhash, packing, pieces, pq, quality, spotsigs, warc
+from topicstream.llm import bloom_lm, html_text, langid, lloyd, minhash, packing, pieces, pq, quality, resample, spotsigs, warc, winnow
 from topicstream.llm.common import id_remainder, prepare, table, vocabulary
 from topicstream.session import staged_table
 
@@ -91,3 +91,21 @@ def op10_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", held_out.alias("held_out"))
     model = bloom_lm.fit(docs, ~F.col("held_out"))
     return bloom_lm.score(docs, model, ["doc_id", "held_out"])
+
+
+@query
+def op11_member_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all embeddings after four Lloyd rounds over members that stay with their entry."""
+    return lloyd.compress(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's weight and score towards the benchmark texts, and the rank of those drawn."""
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's words inside runs it shares with benchmark items."""
+    return winnow.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
