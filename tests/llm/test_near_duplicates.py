@@ -55,7 +55,7 @@ def test_minhash_is_brute_force(docs_of, size):
     texts = [t for n in (2, 3, 60) for _ in range(4) for t in family(rng, words, n, 6)]
     texts += ["", None, " \n ", "one", "ONE", "one two", "a b c", texts[0], texts[0], texts[0].upper().replace("Ö", "ö")]
     rows = list(enumerate(texts, 10))
-    settings = minhash.Settings(shingle=size, block=16)
+    settings = minhash.Settings(shingle=size, block=5000, crowd=7)
     got = {r.doc_id: r for r in minhash.near_duplicates(docs_of(rows), settings).collect()}
     sets = {i: shingled(t, size) for i, t in rows}
     links = [
@@ -67,15 +67,54 @@ def test_minhash_is_brute_force(docs_of, size):
     }
 
 
-def test_minhash_of_repeated_rows_null_ids_and_nothing(docs_of):
-    docs = docs_of([(5, "a b c"), (5, "a b c"), (None, "a b c"), (None, "x y"), (None, None), (3, "q r s")])
-    got = sorted(minhash.near_duplicates(docs).collect(), key=str)
+def test_minhash_keeps_one_row_of_repeated_rows_and_null_ids(docs_of):
+    docs = docs_of([(5, "a b c"), (5, "a b c"), (None, "a b c"), (None, "x y"), (None, None), (3, "q r s"), (None, "u v"), (None, "U v")])
+    got = minhash.near_duplicates(docs).collect()
     assert sorted((r.doc_id or 0, r.component_id or 0, r.kept) for r in got) == [
-        (0, 0, False), (0, 0, False), (0, 5, False), (3, 3, True), (5, 5, True), (5, 5, True)
+        (0, 0, False), (0, 0, True), (0, 0, True), (0, 0, True), (0, 5, False), (3, 3, True), (5, 5, False), (5, 5, True)
     ]
     assert minhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_minhash_of_very_long_texts(docs_of):
+    rng = random.Random(3)
+    long = [f"w{rng.randrange(50000)}" for _ in range(60000)]
+    copy = [w if i % 80 else "changed" for i, w in enumerate(long)]
+    other = [w if i % 4 else "changed" for i, w in enumerate(long)]
+    got = {r.doc_id: r for r in minhash.near_duplicates(docs_of([(1, " ".join(long)), (2, " ".join(copy)), (3, " ".join(other)), (4, "x" * 300000)])).collect()}
+    assert [got[i].component_id for i in (1, 2, 3, 4)] == [1, 1, 3, 4] and got[4].n_shingles == 1
+
+
+@pytest.mark.parametrize("edits, size", [(2, 300), (4, 300), (4, 600)])
+def test_block_pairs_emit_forests(llm, edits, size):
+    """A family just over or just under the threshold: all pairs look similar, what leaves a block is linear in its nodes."""
+    rng = random.Random(edits)
+    base = [f"b{i}" for i in range(100)]
+    texts = []
+    for k in range(size):
+        words = list(base)
+        for at in rng.sample(range(0, 100, 2), edits):
+            words[at] = f"own{k}x{at}"
+        texts.append(" ".join(words))
+    settings = minhash.Settings(shingle=2)
+    docs = llm.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = {t: shingled(t, 2) for t in texts}
+    sketch = minhash.sketch(docs, settings).cache()
+    opened = sketch.select(F.explode("bands").alias("key"), "digest", F.col("n_shingles").alias("n"), F.col("digest").alias("component"))
+    dealt = minhash.met_in_blocks(opened, sketch.select("digest", "marks", "bands"), settings)
+    asked = minhash.likely(dealt, settings).cache()
+    full = minhash.full_sets(sketch.select("digest", "doc_id").join(docs, "doc_id").select("digest", "text"), settings)
+    found = minhash.linked_components(asked, full, settings).collect()
+    groups = asked.groupBy("key", "o", "s").agg(F.countDistinct("digest").alias("n")).collect()
+    assert asked.count() <= dealt.count() and len(found) <= sum(g.n - 1 for g in groups)
+    name = {r.digest: r.doc_id for r in sketch.collect()}
+    links = [(name[bytes(r.a)], name[bytes(r.b)]) for r in found]
+    every = [(a, b) for a in range(size) for b in range(a) if 100 * len(sets[texts[a]] & sets[texts[b]]) >= 80 * len(sets[texts[a]] | sets[texts[b]])]
+    assert components_of(range(size), links) == components_of(range(size), every)
+    assert (len(every) > 10 * size) == (edits == 2)
+    assert len(links) < 40 * size
+
+
 def test_circulant_coordinates_are_shifts_of_one_permutation():
     x = np.array([3, 99, 2**32 - 1], np.uint32)
     moved = lambda k: minhash.permute(minhash.scatter(x) + np.uint32(k), np.empty(3, np.uint32))

@@ -19,9 +19,9 @@ def test_query_matches_sql(llm, name):
     assert problem is None and count > 0
 
 
-def test_ten_operators_and_the_pipeline_are_registered():
+def test_thirteen_operators_and_the_pipeline_are_registered():
     names = entry.queries()
-    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11)) and "pipeline" in names
+    assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 14)) and "pipeline" in names
 
 
 def test_stages_keep_columns_and_decide(llm):
@@ -43,6 +43,18 @@ def test_stages_keep_columns_and_decide(llm):
     assert packed.select("doc_id").distinct().count() == third
 
 
+def test_one_row_of_a_group_survives_repeated_and_null_ids(llm):
+    base = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, base)] * 3 + [(None, base)] * 2 + [(2, base + " more"), (2, "quite another text of its own"), (None, "and a lone one without id")]
+    rows += [(None, "the same text twice without id")] * 2 + [(9, None)] * 2
+    docs = llm.createDataFrame([(*r, "s") for r in rows], "doc_id long, text string, id_hash string")
+    kept = corpus_pipeline.near_duplicate_stage(llm, docs, SF)
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id or 0, r.text or "") for r in kept.collect())) == sorted([
+        (1, base), (2, "quite another text of its own"), (0, "and a lone one without id"), (0, "the same text twice without id"), (9, "")
+    ])
+
+
 def test_pipeline_of_an_empty_table(llm):
     docs = llm.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:

@@ -6,18 +6,19 @@ banded; documents that share a band are candidates and are confirmed by the exac
 their whole texts.
 
 Equal shingle sets are one node from the start, so exact copies never meet each other. Within a band the nodes
-are compared with one leader, linked nodes become one component, and only bands that still hold several components
-go on. There the signatures are compared in blocks, and nodes outside the largest component are tested against nodes of other
-components that look similar enough: first against the ``best`` few each, last, by signatures of ``sharp`` coordinates, against all of
-them. Pairs inside one component are never formed, and a pair that could still join two components is passed over only by its
-signature. With 40 bands of 5 coordinates, two sets of similarity 0.8 share no band with probability 1.3e-7; that their signatures
+are compared with one leader by their full sets, linked nodes become one component, and only bands that still hold several components
+go on. There the nodes outside the band's largest component meet all nodes of the band, in blocks of bounded volume: first by signature, which leaves
+the nodes with a partner that looks similar enough, then by full sets. A block tests its pairs where they meet and
+gives a forest over components, so what it emits is linear in its nodes, however many pairs are near or linked. Pairs inside one component
+are never tested. With 40 bands of 5 coordinates, two sets of similarity 0.8 share no band with probability 1.3e-7; that their signatures
 agree ``deviations`` standard deviations less than expected has probability 3e-6.
 
-Set sizes and digests use 64-bit shingle hashes (two of a document's n shingles collide with probability n*n/2^65).
+Sets, their sizes and digests hold 64-bit shingle hashes (two of a document's n shingles collide with probability n*n/2^65).
 
-Defined results: a text without words, or null, has the empty set, is linked with nothing and is kept. Rows with the same id
-and text are one document; ``kept`` is true for each of them. A null id takes no part in the smallest id; if a component has no
-other id, component_id is null and kept false. Extra columns are ignored; an empty table gives an empty table.
+Defined results: a text without words, or null, has the empty set, is linked with nothing and is kept. Texts of any length are hashed whole. A
+component keeps one row: that with the smallest id, null ids last, then the smallest text hash, then the first of equal rows. A null id
+takes no part in the smallest id; if a component has no other id, component_id is null. Extra columns are ignored; an empty table
+gives an empty table.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from topicstream.llm.common import map_batches, mix64, text_bytes
@@ -42,10 +43,9 @@ class Settings:
     percent: int = 80  # link at 100 * intersection >= percent * union
     bands: int = 40
     rows: int = 5
-    best: int = 2
-    sharp: int = 1024
     deviations: float = 4.5
-    block: int = 1024
+    block: int = 1_000_000  # shingles of the nodes in a block, each node counted as 250 more
+    crowd: int = 512  # pairs of one leader that a task gets together
     cached_words: int = 150_000
 
 
@@ -57,16 +57,8 @@ class WordHashes(dict):
         return value
 
 
-def shingles(text: bytes, size: int) -> set[tuple[bytes, ...]]:
-    """Distinct shingles; a shorter text is one shingle, an empty one has none. Only A-Z is lower-cased."""
-    words = text.lower().split()
-    if len(words) <= size:
-        return {tuple(words)} if words else set()
-    return set(zip(*[words[i:] for i in range(size)], strict=False))
-
-
 def shingle_hashes(text: bytes, size: int, hashes: WordHashes) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the shingles."""
+    """Sorted distinct 64-bit hashes of the shingles; a shorter text is one shingle, an empty one has none. Only A-Z is lower-cased."""
     words = text.lower().split()
     n = len(words)
     if not n:
@@ -125,8 +117,13 @@ def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return key
 
 
+def row_name() -> list[Column]:
+    """Two hashes that name a row by its id, null included, and its text."""
+    return [F.xxhash64(F.lit(11), "doc_id").alias("id_hash"), F.xxhash64("text").alias("text_hash")]
+
+
 def sketch(docs: DataFrame, settings: Settings) -> DataFrame:
-    """doc_id, text_hash, n_shingles, digest of the set (null if empty), band keys and the low bytes of the signature."""
+    """doc_id, row, id_hash, text_hash, n_shingles, digest of the set (null if empty), band keys and the low bytes of the signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -158,178 +155,254 @@ def sketch(docs: DataFrame, settings: Settings) -> DataFrame:
         offsets = np.concatenate([[0], np.cumsum(np.where(sizes > 0, settings.bands, 0))]).astype(np.int32)
         lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.ravel().view(np.int64)))
         digests = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
-        columns = [batch.column("doc_id"), batch.column("text_hash"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), lists, pa.array(marks, pa.binary())]
-        return pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "n_shingles", "digest", "bands", "marks"])
+        columns = [batch.column(c) for c in ("doc_id", "row", "id_hash", "text_hash")]
+        columns += [pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), lists, pa.array(marks, pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "row", "id_hash", "text_hash", "n_shingles", "digest", "bands", "marks"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    ddl = f"doc_id {kind}, text_hash long, n_shingles long, digest binary, bands array<long>, marks binary"
-    return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(run, ddl)
+    ddl = f"doc_id {kind}, row long, id_hash long, text_hash long, n_shingles long, digest binary, bands array<long>, marks binary"
+    named = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), *row_name(), "text")
+    return named.mapInArrow(run, ddl)
+
+
+def full_sets(texts: DataFrame, settings: Settings) -> DataFrame:
+    """``texts`` (digest, text) to digest and the whole set, packed."""
+    hashes = WordHashes()
+
+    def transform(batch: pa.RecordBatch) -> dict:
+        packed = []
+        for text in text_bytes(batch.column("text")):
+            packed.append(shingle_hashes(text, settings.shingle, hashes).tobytes())
+            if len(hashes) > settings.cached_words:
+                hashes.clear()
+        return {"digest": batch.column("digest"), "shingles": packed}
 
+    return map_batches(texts, transform, "digest binary, shingles binary")
 
-def confirm(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
-    """The pairs (a, b) of digests whose whole texts reach the similarity. ``texts``: digest, text."""
-    left = pairs.join(texts.select(F.col("digest").alias("b"), F.col("text").alias("text_b")), "b")
-    both = left.join(texts.select(F.col("digest").alias("a"), F.col("text").alias("text_a")), "a")
+
+def confirm(pairs: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
+    """The pairs (a, b) of digests whose full sets reach the similarity. ``sets``: digest, shingles.
+
+    A leader with many pairs has its set in as many places as its pairs fill.
+    """
+    crowds = pairs.groupBy("a").agg(F.ceil(F.count("*") / settings.crowd).cast("int").alias("places"))
+    salt = F.pmod(F.xxhash64("b"), F.col("places")).cast("int").alias("salt")
+    left = pairs.join(crowds, "a").select("a", "b", salt).join(sets.select(F.col("digest").alias("b"), F.col("shingles").alias("of_b")), "b")
+    right = crowds.join(sets.select(F.col("digest").alias("a"), F.col("shingles").alias("of_a")), "a")
+    right = right.select("a", "of_a", F.explode(F.sequence(F.lit(0), F.col("places") - 1)).alias("salt"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, of_last = None, set()
         for batch in batches:
-            first, second = batch.column("a").to_pylist(), batch.column("b").to_pylist()
+            first, second = batch.column("of_a").to_pylist(), batch.column("of_b").to_pylist()
             good = []
-            for i, a in enumerate(first):
-                if a != last:  # the join delivers the pairs of one ``a`` together
-                    last, of_last = a, shingles(batch.column("text_a")[i].as_py().encode(), settings.shingle)
-                other = shingles(batch.column("text_b")[i].as_py().encode(), settings.shingle)
-                common = len(of_last & other)
-                if 100 * common >= settings.percent * (len(of_last) + len(other) - common):
+            for i, (x, y) in enumerate(zip(first, second, strict=True)):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                common = len(x) + len(y) - len(np.unique(np.concatenate([x, y])))
+                if 100 * common >= settings.percent * (len(x) + len(y) - common):
                     good.append(i)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x[i] for i in good], pa.binary()) for x in (first, second)], ["a", "b"]
-            )
+            yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(good, pa.int64())) for c in ("a", "b")], ["a", "b"])
 
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a binary, b binary")
+    both = left.join(right, ["a", "salt"]).select("a", "b", "of_a", "of_b")
+    return both.mapInArrow(run, "a binary, b binary")
 
 
-def sharper(texts: DataFrame, settings: Settings) -> DataFrame:
-    """digest and low bytes of a longer signature of the texts."""
+GROUP = ["key", "o", "s"]  # a band, a block of its open nodes, a block of all its nodes
 
-    def transform(batch: pa.RecordBatch) -> dict:
-        hashes, texts = WordHashes(), text_bytes(batch.column("text"))
-        marks, at = [], 0
-        while at < len(texts):  # a bounded number of sets at a time
-            sets = [shingle_hashes(t, settings.shingle, hashes) for t in texts[at : at + 256]]
-            at += len(sets)
-            sizes = np.array([len(x) for x in sets])
-            values = (np.concatenate(sets) >> np.uint64(32)).astype(np.uint32)
-            signature = signatures(values, np.cumsum(sizes) - sizes, settings.sharp).astype(np.uint8)
-            marks.extend(row.tobytes() for row in signature)
-            if len(hashes) > settings.cached_words:
-                hashes.clear()
-        return {"digest": batch.column("digest"), "marks": pa.array(marks, pa.binary())}
 
-    return map_batches(texts, transform, "digest binary, marks binary")
+def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of one group after another, from sorted batches."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        name = np.stack([batch.column(c).to_numpy() for c in GROUP])
+        cuts = [0, *(np.flatnonzero((name[:, 1:] != name[:, :-1]).any(axis=0)) + 1), batch.num_rows]
+        if held and [held[0].column(c)[0] for c in GROUP] != [batch.column(c)[0] for c in GROUP]:
+            yield pa.Table.from_batches(held)
+            held = []
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            if a:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held)
+
 
+def objects(table: pa.Table, column: str) -> np.ndarray:
+    out = np.empty(table.num_rows, object)
+    out[:] = table.column(column).to_pylist()
+    return out
 
-def alike(group: dict[str, np.ndarray], best: int | None, settings: Settings) -> list[tuple[bytes, bytes]]:
-    """Pairs of one block pair of a band that may join two components: nodes outside its largest component with the others.
 
-    ``best`` limits them to so many of the most similar ones for each node. A pair counts in the first band it shares only.
+def candidates(group: dict[str, np.ndarray], settings: Settings) -> np.ndarray:
+    """The rows of a block pair with a partner that looks similar enough and belongs to another component.
+
+    Rows that ask are open nodes, the others are all nodes of the band; two open nodes are tested once, and a pair in the first band it shares only.
     """
-    component, n, digest = group["component"], group["n"], group["digest"]
     share, coordinates = settings.percent / 100, group["marks"].shape[1]
     least = share - settings.deviations * np.sqrt(share * (1 - share) / coordinates)
-    _, which, sizes = np.unique(component, return_inverse=True, return_counts=True)
-    rows = np.flatnonzero(which != sizes.argmax())
+    asking, stored = np.flatnonzero(group["asks"]), np.flatnonzero(~group["asks"])
+    rank = np.unique(group["digest"], return_inverse=True)[1]
+    which = np.unique(group["component"], return_inverse=True)[1]
+    n, marks, bands, opened, chosen = group["n"], group["marks"], group["bands"], group["open"], np.zeros(len(rank), bool)
+    for lo in range(0, len(asking), 64):
+        x = asking[lo : lo + 64]
+        for at in range(0, len(stored), 256):
+            y = stored[at : at + 256]
+            small, large = np.minimum(n[x, None], n[y]), np.maximum(n[x, None], n[y])
+            good = (which[x, None] != which[y]) & (100 * small >= settings.percent * large) & (~opened[y] | (rank[x, None] < rank[y]))
+            i, j = np.nonzero(good)
+            if not len(i):
+                continue
+            if len(i) * 4 > good.size:
+                agree = (marks[x, None] == marks[None, y]).mean(axis=2)[i, j]
+            else:
+                agree = (marks[x[i]] == marks[y[j]]).mean(axis=1)
+            i, j = x[i[agree >= least]], y[j[agree >= least]]
+            shared = bands[i] == bands[j]
+            here = bands[i, shared.argmax(axis=1)] == group["key"]
+            chosen[i[here]] = chosen[j[here]] = True
+    return chosen
+
+
+def forest(component: np.ndarray, asks: np.ndarray, sets: list[np.ndarray], settings: Settings) -> list[tuple[bytes, bytes]]:
+    """True links between rows that ask and the others, as a forest over their components."""
+    parent: dict = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    asking, stored = np.flatnonzero(asks), np.flatnonzero(~asks)
+    sizes = np.array([len(s) for s in sets])
+    kinds, code = np.unique(component, return_inverse=True)
+    # places of every shingle among the stored sets
+    values = np.concatenate([sets[i] for i in stored])
+    owner = np.repeat(np.arange(len(stored)), sizes[stored])
+    turn = np.argsort(values, kind="stable")
+    values, owner = values[turn], owner[turn]
     found = []
-    for lo in range(0, len(rows), 64):
-        x = rows[lo : lo + 64]
-        agree = np.empty((len(x), len(n)))
-        for at in range(0, len(n), 128):
-            agree[:, at : at + 128] = (group["marks"][x, None] == group["marks"][None, at : at + 128]).mean(axis=2)
-        small, large = np.minimum(n[x, None], n), np.maximum(n[x, None], n)
-        good = (which[x, None] != which) & (100 * small >= settings.percent * large) & (agree >= least)
-        if best is not None and len(n) > best:
-            agree = np.where(good, agree, 0)
-            good &= agree >= -np.partition(-agree, best - 1, axis=1)[:, best - 1 : best]
-        i, j = np.nonzero(good)
-        shared = group["bands"][x[i]] == group["bands"][j]
-        here = group["bands"][j, shared.argmax(axis=1)] == group["key"]
-        for i, j in zip(i[here], j[here], strict=True):
-            a, b = digest[x[i]], digest[j]
-            found.append((a, b) if a < b else (b, a))
+    for q in asking:
+        lo, hi = np.searchsorted(values, sets[q], "left"), np.searchsorted(values, sets[q], "right")
+        counts = hi - lo
+        total = int(counts.sum())
+        if not total:
+            continue
+        at = np.arange(total) + np.repeat(lo - (np.cumsum(counts) - counts), counts)
+        common = np.bincount(owner[at], minlength=len(stored))
+        good = 100 * common >= settings.percent * (sizes[q] + sizes[stored] - common)
+        for other in np.unique(code[stored[good]]):
+            x, y = root(component[q]), root(kinds[other])
+            if x != y:
+                parent[x] = y
+                found.append((component[q], kinds[other]))
     return found
 
 
-def similar_pairs(opened: DataFrame, marks: DataFrame, best: int | None, settings: Settings) -> DataFrame:
-    """Candidates (a, b) among the rows (key, digest, n, component) of bands with several components; ``marks``: digest, marks, bands.
+def met_in_blocks(opened: DataFrame, nodes: DataFrame, settings: Settings) -> DataFrame:
+    """Rows (key, digest, n, component) of bands with several components, dealt to block pairs; ``nodes`` has more columns per digest."""
+    weight = F.col("n") + 250
+    parts = opened.groupBy("key", "component").agg(F.count("*").alias("c"), F.sum(weight).alias("w"))
+    bands = parts.groupBy("key").agg(F.max(F.struct("c", "component", "w")).alias("big"), F.sum("w").alias("w"), F.count("*").alias("parts"))
+    number = lambda w: F.ceil(w / settings.block).cast("int")
+    bands = bands.filter("parts > 1").select(
+        "key", F.col("big.component").alias("largest"), number(F.col("w") - F.col("big.w")).alias("of_open"), number(F.col("w")).alias("of_all")
+    )
+    rows = opened.join(bands, "key").withColumn("open", F.col("component") != F.col("largest")).join(nodes, "digest")
+    block = lambda seed, count: F.pmod(F.xxhash64(F.lit(seed), "digest"), F.col(count)).cast("int")
+    every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+    columns = ["digest", "n", "component", "open", *[c for c in nodes.columns if c != "digest"]]
+    asks = rows.filter("open").select("key", block(1, "of_open").alias("o"), every("of_all").alias("s"), F.lit(True).alias("asks"), *columns)
+    stored = rows.select("key", every("of_open").alias("o"), block(2, "of_all").alias("s"), F.lit(False).alias("asks"), *columns)
+    return asks.unionByName(stored)
 
-    A band with many nodes is cut into blocks and every pair of blocks is one group, so no task holds a whole band.
-    """
-    blocks = opened.groupBy("key").agg(F.ceil(F.count("*") / settings.block).cast("int").alias("blocks"))
-    rows = opened.join(blocks, "key").join(marks, "digest")
-    own = F.pmod(F.xxhash64("digest"), F.col("blocks")).cast("int")
-    rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    i, j = F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
-    rows = rows.select("key", i, j, "digest", "n", "component", "marks", "bands")
-    dealt = rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-
-    def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-        held = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            held = table if held is None else pa.concat_tables([held, table])
-            name = np.stack([held.column(c).to_numpy() for c in ("key", "i", "j")])
-            cuts = np.flatnonzero((name[:, 1:] != name[:, :-1]).any(axis=0)) + 1
-            for a, b in zip([0, *cuts[:-1]], cuts, strict=False):
-                yield held.slice(a, b - a)
-            held = held.slice(cuts[-1]) if len(cuts) else held
-        if held is not None and held.num_rows:
-            yield held
+
+def likely(dealt: DataFrame, settings: Settings) -> DataFrame:
+    """The rows of each block pair that may have a link there: key, o, s, asks, digest, component."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in groups(batches):
-            group = {c: np.array(table.column(c).to_pylist(), object) for c in ("component", "digest")}
-            group["n"] = table.column("n").to_numpy()
-            marks = b"".join(table.column("marks").to_pylist())
-            group["marks"] = np.frombuffer(marks, np.uint8).reshape(table.num_rows, -1)
-            bands = table.column("bands").combine_chunks().flatten().to_numpy(zero_copy_only=False)
-            group["bands"], group["key"] = bands.reshape(table.num_rows, -1), table.column("key")[0].as_py()
-            pairs = alike(group, best, settings)
-            if pairs:
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*set(pairs), strict=True)], ["a", "b"])
+        for table in grouped(batches):
+            group = {c: table.column(c).to_numpy() for c in ("n", "asks", "open")} | {c: objects(table, c) for c in ("digest", "component")}
+            group["marks"] = np.frombuffer(b"".join(table.column("marks").to_pylist()), np.uint8).reshape(table.num_rows, -1)
+            group["bands"] = table.column("bands").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(table.num_rows, -1)
+            group["key"] = table.column("key")[0].as_py()
+            chosen = candidates(group, settings)
+            if chosen.any():
+                yield from table.filter(pa.array(chosen)).select(kept).combine_chunks().to_batches()
 
-    return dealt.mapInArrow(run, "a binary, b binary").distinct()
+    kept = [*GROUP, "asks", "digest", "component"]
+    rows = dealt.repartition(*GROUP).sortWithinPartitions(*GROUP)
+    return rows.mapInArrow(run, "key long, o int, s int, asks boolean, digest binary, component binary")
 
 
-def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """``docs`` (doc_id, text) to one row per document: doc_id, n_shingles, component_id, kept."""
+def linked_components(asked: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
+    """Links (a, b) between components, confirmed by full sets inside each block pair; fewer than the block pair has rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in grouped(batches):
+            full = [np.frombuffer(s, np.uint64) for s in table.column("shingles").to_pylist()]
+            found = forest(objects(table, "component"), table.column("asks").to_numpy(), full, settings)
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*found, strict=True)], ["a", "b"])
+
+    rows = asked.join(sets, "digest").select(*GROUP, "asks", "component", "shingles")
+    return rows.repartition(*GROUP).sortWithinPartitions(*GROUP).mapInArrow(run, "a binary, b binary")
+
+
+def components(members: DataFrame, leaders: DataFrame, sets: DataFrame, nodes: DataFrame, settings: Settings) -> DataFrame:
+    """Component of every node with a link: node, component.
+
+    ``members``: key, digest, n. ``leaders``: key, a, m. ``sets``: digest, shingles. ``nodes``: digest, marks, bands.
+    """
+    similar = F.expr(f"100 * least(n, m) >= {settings.percent} * greatest(n, m)")
+    pairs = members.join(leaders, "key").filter(similar & (F.col("digest") > F.col("a")))
+    pairs = staged_table(pairs.select("a", F.col("digest").alias("b")).distinct(), "minhash-pairs")
+    links = staged_table(confirm(pairs, sets, settings), "minhash-links")
+    component = staged_table(connected_components(links), "minhash-components")
+
+    opened = members.join(component, members.digest == component.node, "left")
+    opened = opened.select("key", "digest", "n", F.coalesce("component", "digest").alias("component"))
+    mixed = opened.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y")
+    opened = staged_table(opened.join(mixed.select("key"), "key"), "minhash-open")
+    asked = staged_table(likely(met_in_blocks(opened, nodes, settings), settings), "minhash-asked")
+    more = staged_table(linked_components(asked, sets, settings).distinct(), "minhash-more")
+    joined = staged_table(connected_components(more), "minhash-joined").select(F.col("node").alias("component"), F.col("component").alias("whole"))
+    first = component.join(joined, "component", "left").select("node", F.coalesce("whole", "component").alias("component"))
+    lone = joined.join(component.select(F.col("node").alias("component")), "component", "left_anti")
+    return first.union(lone.select(F.col("component").alias("node"), F.col("whole").alias("component")))
+
+
+def marked_rows(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """``docs`` (doc_id, text) to one row per document: doc_id, id_hash, text_hash, n_shingles, component_id, kept."""
     marked = staged_table(sketch(docs, settings), "minhash-sketch")
-    node = F.min(F.struct("doc_id", "text_hash", "n_shingles", "bands", "marks")).alias("r")
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash", "row")
+    node = F.min(F.struct(order.alias("at"), "id_hash", "n_shingles", "bands", "marks")).alias("r")
     sets = marked.filter("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("first_id"), node)
     sets = staged_table(sets.select("digest", "first_id", "r.*"), "minhash-sets")
 
     rows = sets.select(F.explode("bands").alias("key"), "digest", F.col("n_shingles").alias("n"))
-    shared = rows.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key")
-    members = staged_table(rows.join(shared, "key"), "minhash-bands")
-    candidates = members.select("digest").distinct().join(sets.select("digest", "doc_id", "text_hash"), "digest")
-    own = docs.select(F.col("doc_id").alias("d"), F.xxhash64("text").alias("h"), "text")
-    texts = candidates.join(own, candidates.doc_id.eqNullSafe(own.d) & (candidates.text_hash == own.h))
-    texts = staged_table(texts.select("digest", "text").dropDuplicates(["digest"]), "minhash-texts")
-
-    similar = F.expr(f"100 * least(n, m) >= {settings.percent} * greatest(n, m)")
-    leaders = members.groupBy("key").agg(F.min(F.struct("digest", "n")).alias("l"))
-    leaders = leaders.select("key", F.col("l.digest").alias("a"), F.col("l.n").alias("m"))
-    pairs = members.join(leaders, "key").filter(similar & (F.col("digest") > F.col("a")))
-    pairs = pairs.select("a", F.col("digest").alias("b")).distinct()
-    tested, links = None, None
-    for step in ("leaders", "best", "all"):
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = staged_table(pairs, "minhash-pairs")
-        found = staged_table(confirm(pairs, texts, settings), "minhash-links")
-        tested = pairs if tested is None else tested.union(pairs)
-        links = found if links is None else links.union(found)
-        component = staged_table(connected_components(links), "minhash-components")
-        if step == "all":
-            break
-        opened = members.join(component, members.digest == component.node, "left")
-        opened = opened.select("key", "digest", "n", F.coalesce("component", "digest").alias("component"))
-        mixed = opened.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y")
-        opened = staged_table(opened.join(mixed.select("key"), "key"), "minhash-open")
-        if opened.isEmpty():
-            break
-        if step == "leaders":
-            pairs = similar_pairs(opened, sets.select("digest", "marks", "bands"), settings.best, settings)
-        else:
-            still = texts.join(opened.select("digest").distinct(), "digest")
-            marks = staged_table(sharper(still, settings), "minhash-sharp").join(sets.select("digest", "bands"), "digest")
-            pairs = similar_pairs(opened, marks, None, settings)
+    leaders = rows.groupBy("key").agg(F.count("*").alias("c"), F.min(F.struct("digest", "n")).alias("l")).filter("c > 1")
+    leaders = staged_table(leaders.select("key", F.col("l.digest").alias("a"), F.col("l.n").alias("m")), "minhash-leaders")
+    members = staged_table(rows.join(leaders.select("key"), "key"), "minhash-bands")
+    met = members.select("digest").distinct().join(sets.select("digest", "id_hash", F.col("at.text_hash").alias("text_hash")), "digest")
+    named = ["id_hash", "text_hash"]
+    texts = docs.select(*row_name(), "text").join(met, named).dropDuplicates([*named, "digest"]).select("digest", "text")
+    full = staged_table(full_sets(texts, settings), "minhash-full")
+    component = components(members, leaders, full, sets.select("digest", "marks", "bands"), settings)
 
     node = sets.join(component, sets.digest == component.node, "left")
-    node = node.select("digest", "first_id", F.coalesce("component", "digest").alias("component"))
-    least = node.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    of_set = node.join(least, "component").select("digest", "component_id")
-    out = marked.select("doc_id", "n_shingles", "digest").join(of_set, "digest", "left")
-    component_id = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    out = out.select("doc_id", "n_shingles", component_id.alias("component_id"))
-    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+    node = node.select("digest", "first_id", "at", F.coalesce("component", "digest").alias("component"))
+    least = node.groupBy("component").agg(F.min("first_id").alias("component_id"), F.min("at").alias("first"))
+    of_set = node.join(least, "component").select("digest", "component_id", F.col("first.row").alias("first_row"))
+    out = marked.select("doc_id", "row", "id_hash", "text_hash", "n_shingles", "digest").join(of_set, "digest", "left")
+    empty = F.col("digest").isNull()
+    return out.select(
+        "doc_id", "id_hash", "text_hash", "n_shingles",
+        F.when(empty, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), (empty | (F.col("row") == F.col("first_row"))).alias("kept"),
+    )
+
+
+def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """``docs`` (doc_id, text) to one row per document: doc_id, n_shingles, component_id, kept."""
+    return marked_rows(docs, settings).select("doc_id", "n_shingles", "component_id", "kept")
