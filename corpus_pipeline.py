@@ -33,12 +33,15 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays, that with the smallest id; five words, similarity 0.8."""
+    """One row of each group of near-duplicates stays, that with the smallest id, null ids last; five words, similarity 0.8.
+
+    Rows are named by hashes of id and text, so repeated and null ids are told apart, and one of the rows that repeat both stays.
+    """
     prepare(spark)
     rows, restored = boxed(docs, ("doc_id", "text"))
-    marked = minhash.near_duplicates(rows)
-    stay = marked.filter("kept or component_id is null").select(F.col("doc_id").alias("_id")).distinct()
-    return rows.join(stay, rows.doc_id.eqNullSafe(stay._id), "left_semi").select(*restored)
+    stay = minhash.marked_rows(rows).filter("kept").select("id_hash", "text_hash")
+    named = rows.select("*", *minhash.row_name())
+    return named.join(stay, ["id_hash", "text_hash"], "left_semi").dropDuplicates(["id_hash", "text_hash"]).select(*restored)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
