@@ -103,7 +103,7 @@ def test_block_pairs_emit_forests(llm, edits, size):
     opened = sketch.select(F.explode("bands").alias("key"), "digest", F.col("n_shingles").alias("n"), F.col("digest").alias("component"))
     dealt = minhash.met_in_blocks(opened, sketch.select("digest", "marks", "bands"), settings)
     asked = minhash.likely(dealt, settings).cache()
-    full = minhash.full_sets(sketch.select("digest", "doc_id").join(docs, "doc_id").select("digest", "text"), settings)
+    full = minhash.full_sets(docs, sketch.select("id_hash", "text_hash", "digest"), settings)
     found = minhash.linked_components(asked, full, settings).collect()
     groups = asked.groupBy("key", "o", "s").agg(F.countDistinct("digest").alias("n")).collect()
     assert asked.count() <= dealt.count() and len(found) <= sum(g.n - 1 for g in groups)

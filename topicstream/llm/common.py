@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Callable, Iterator
 
@@ -94,6 +95,28 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def bitmap_size(count: int, bits_each: int, most_bits: int) -> int:
+    """A power of two of bits, ``bits_each`` for each of ``count`` hashes or more, within its bounds."""
+    return min(most_bits, max(1 << 15, 1 << math.ceil(math.log2(max(1, count) * bits_each))))
+
+
+def bitmap(hashes: DataFrame, column: str, bits: int) -> np.ndarray:
+    """The bitmap of the highest bits of a column's 64-bit hashes; ``bits`` is a power of two, so it is ``bits / 8`` bytes whatever the rows."""
+    place = F.shiftrightunsigned(column, 64 - bits.bit_length() + 1) + 1  # Spark's bitmaps count from 1
+    parts = hashes.select(place.alias("place")).groupBy(F.expr("bitmap_bucket_number(place)").alias("part"))
+    out = np.zeros(bits // 8, np.uint8)
+    for row in parts.agg(F.expr("bitmap_construct_agg(bitmap_bit_position(place))").alias("bits")).collect():
+        at = (row["part"] - 1) * 4096
+        out[at : at + 4096] = np.frombuffer(row["bits"], np.uint8)[: len(out) - at]
+    return out
+
+
+def in_bitmap(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which 64-bit hashes the bitmap may hold; those it was made of are always among them."""
+    place = values >> np.uint64(64 - (len(bitmap) * 8).bit_length() + 1)
+    return (bitmap[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
 def text_volume(df: DataFrame, column: str) -> int:
     """UTF-8 bytes in ``column``; a narrow scan and one sum."""
     return df.agg(F.sum(F.octet_length(column))).head()[0] or 0

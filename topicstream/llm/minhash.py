@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from topicstream.llm.common import map_batches, mix64, text_bytes
+from topicstream.llm.common import bitmap, bitmap_size, in_bitmap, map_batches, mix64, text_bytes
 from topicstream.llm.components import connected_components
 from topicstream.session import staged_table
 
@@ -45,6 +45,7 @@ class Settings:
     rows: int = 5
     deviations: float = 4.5
     block: int = 1_000_000  # shingles of the nodes in a block, each node counted as 250 more
+    most_bits: int = 1 << 27  # bound of the bitmap of nodes whose sets are needed: 16 MB
     crowd: int = 512  # pairs of one leader that a task gets together
     cached_words: int = 150_000
 
@@ -165,19 +166,29 @@ def sketch(docs: DataFrame, settings: Settings) -> DataFrame:
     return named.mapInArrow(run, ddl)
 
 
-def full_sets(texts: DataFrame, settings: Settings) -> DataFrame:
-    """``texts`` (digest, text) to digest and the whole set, packed."""
+def full_sets(docs: DataFrame, wanted: DataFrame, settings: Settings) -> DataFrame:
+    """digest and whole set, packed, of the rows of ``docs`` (doc_id, text) that ``wanted`` (id_hash, text_hash, digest) names.
+
+    A bitmap of the names, of a bounded size, goes to the tasks, so texts of other rows are neither hashed nor shuffled, but for a few.
+    """
+    name = F.xxhash64("id_hash", "text_hash").alias("name")
+    bits = bitmap_size(wanted.count(), 64, settings.most_bits)
+    sieve = docs.sparkSession.sparkContext.broadcast(bitmap(wanted.select(name), "name", bits))
     hashes = WordHashes()
 
     def transform(batch: pa.RecordBatch) -> dict:
+        batch = batch.filter(pa.array(in_bitmap(sieve.value, batch.column("name").to_numpy().view(np.uint64))))
         packed = []
         for text in text_bytes(batch.column("text")):
             packed.append(shingle_hashes(text, settings.shingle, hashes).tobytes())
             if len(hashes) > settings.cached_words:
                 hashes.clear()
-        return {"digest": batch.column("digest"), "shingles": packed}
+        return {c: batch.column(c) for c in named} | {"shingles": packed}
 
-    return map_batches(texts, transform, "digest binary, shingles binary")
+    named = ["id_hash", "text_hash"]
+    rows = docs.select(*row_name(), "text").select(*named, name, "text")
+    found = map_batches(rows, transform, "id_hash long, text_hash long, shingles binary")
+    return found.join(wanted, named).dropDuplicates([*named, "digest"]).select("digest", "shingles")
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
@@ -386,9 +397,7 @@ def marked_rows(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     leaders = staged_table(leaders.select("key", F.col("l.digest").alias("a"), F.col("l.n").alias("m")), "minhash-leaders")
     members = staged_table(rows.join(leaders.select("key"), "key"), "minhash-bands")
     met = members.select("digest").distinct().join(sets.select("digest", "id_hash", F.col("at.text_hash").alias("text_hash")), "digest")
-    named = ["id_hash", "text_hash"]
-    texts = docs.select(*row_name(), "text").join(met, named).dropDuplicates([*named, "digest"]).select("digest", "text")
-    full = staged_table(full_sets(texts, settings), "minhash-full")
+    full = staged_table(full_sets(docs, staged_table(met, "minhash-met"), settings), "minhash-full")
     component = components(members, leaders, full, sets.select("digest", "marks", "bands"), settings)
 
     node = sets.join(component, sets.digest == component.node, "left")

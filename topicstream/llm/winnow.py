@@ -20,7 +20,6 @@ words are confused if their 64-bit hashes agree: for ten million distinct words
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from topicstream.llm.common import TO_SPACE, lowered_pieces, mix64, text_bytes
+from topicstream.llm.common import TO_SPACE, bitmap, bitmap_size, in_bitmap, lowered_pieces, mix64, text_bytes
 from topicstream.session import staged_table
 
 
@@ -81,11 +80,6 @@ def fingerprints(h: np.ndarray, size: int, gram: int) -> np.ndarray:
     return least
 
 
-def in_bitmap(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
-    place = values >> np.uint64(64 - (len(bitmap) * 8).bit_length() + 1)
-    return (bitmap[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
-
-
 def windows(h: np.ndarray, text: np.ndarray, size: int, settings: Settings, sieve=None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Places, fingerprints and hashes of the windows of ``size`` words that lie in one text; ``text`` numbers the text of each word.
 
@@ -147,17 +141,6 @@ def item_windows(items: DataFrame, settings: Settings) -> DataFrame:
     return items.mapInArrow(run, "item string, class string, size int, fp long, win long")
 
 
-def bitmap(windows_: DataFrame, column: str, bits: int) -> np.ndarray:
-    """The bitmap of the highest bits of a column's hashes; ``bits`` is a power of two."""
-    place = F.shiftrightunsigned(column, 64 - bits.bit_length() + 1) + 1  # Spark's bitmaps count from 1
-    parts = windows_.select(place.alias("place")).groupBy(F.expr("bitmap_bucket_number(place)").alias("part"))
-    out = np.zeros(bits // 8, np.uint8)
-    for row in parts.agg(F.expr("bitmap_construct_agg(bitmap_bit_position(place))").alias("bits")).collect():
-        at = (row["part"] - 1) * 4096
-        out[at : at + 4096] = np.frombuffer(row["bits"], np.uint8)[: len(out) - at]
-    return out
-
-
 def sifted(docs: DataFrame, sizes: list[int], sieve, settings: Settings) -> DataFrame:
     """``docs`` (doc_id, row, text) to doc_id, row, n_words and lists at, size, fp, win of the windows found in both bitmaps."""
 
@@ -189,8 +172,7 @@ def hits(docs: DataFrame, items: DataFrame, settings: Settings = Settings()) ->
     of_class = staged_table(listed.select("class", *keys).distinct(), "winnow-windows")
     distinct = of_class.select(*keys).distinct()
     sizes = sorted(r["size"] for r in distinct.select("size").distinct().collect())  # at most ``span`` numbers
-    count = max(1, distinct.count())
-    bits = min(settings.most_bits, max(1 << 15, 1 << math.ceil(math.log2(count * settings.bits_per_window))))
+    bits = bitmap_size(distinct.count(), settings.bits_per_window, settings.most_bits)
     sieve = docs.sparkSession.sparkContext.broadcast((bitmap(distinct, "fp", bits), bitmap(distinct, "win", bits)))
     numbered = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))
     marked = staged_table(sifted(numbered, sizes, sieve, settings), "winnow-documents")
