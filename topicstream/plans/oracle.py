@@ -220,6 +220,9 @@ ORACLE = {
     "write_collisions": f"WITH {BATCH_COLLISIONS} SELECT batch_id, bucket, word FROM batch_words",
     "write_posts": f"WITH {EVENT_POSTS} SELECT id, text, text AS line_text, hashtags, NULL::VARCHAR AS urls, "
     "mention AS user_mentions FROM kept",
+    "collect_stream": f"WITH {EVENT_POSTS} SELECT id, text, text AS line_text, author AS user_name, hashtags, NULL::VARCHAR AS urls, "
+    "timestamp_ms AS timestamp, mention AS user_mentions FROM kept",
+    "collect_quarantine": f"WITH {EVENT_POSTS} SELECT id, 'not JSON' AS reason FROM sent UNION ALL SELECT id, 'no id' FROM kept",
     "merge_sink": f"WITH {REPORT} SELECT batch_id, cluster_id, count FROM report",
     "reset_outputs": f"WITH {REPORT} SELECT run, count(*) AS rows FROM report, (SELECT unnest(['first', 'second']) AS run) GROUP BY run",
     "read_batch_outputs": f"WITH {ASSIGNED} SELECT batch_id, count(DISTINCT cluster_id) AS clusters, count(*)::BIGINT AS posts "
@@ -346,7 +349,7 @@ SELECT * FROM (SELECT source AS cluster_id, size, row_number() OVER (PARTITION B
     "upsert_posts": "SELECT doc_id AS id, text FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
     "vector_mean": f"WITH {EMBEDDINGS} SELECT cluster_id, count(*) AS n, round(sum(list_sum(v)), 4) + 0.0 AS total, "
     "round(sum(v[1]), 4) + 0.0 AS first FROM e GROUP BY cluster_id",
-    "throughput": "SELECT count(*) AS posts FROM documents",
+    "throughput": "SELECT count(*) AS posts, 0::BIGINT AS disagreements, true AS all_stored FROM documents",
     # history
     "batch_index": f"WITH {HISTORY} SELECT batch_id, batch_index FROM batches",
     "history_grid": f"WITH {HISTORY} SELECT cluster_id, batch_index, count, silhouette, rep_id, best_url FROM grid",

@@ -17,12 +17,13 @@ from topicstream.operators import nearest as ne
 from topicstream.operators import quality as qu
 from topicstream.plans import history as hi
 from topicstream.plans import inputs as inp
+from topicstream.schemas import POST_LINES
 from topicstream.session import PLANNER_SETTINGS, new_run_dir, ship_package, staged_table
 from topicstream.sources import outputs as out
 from topicstream.sources import posts as src
 from topicstream.sources import raw
 from topicstream.sources import terms
-from topicstream.streaming import run
+from topicstream.streaming import collect, progress, run
 
 QUERIES = {}
 
@@ -185,6 +186,41 @@ def write_posts(spark, sf):
     )
 
 
+def _collected_stream(spark, sf) -> str:
+    """Raw lines through the collector, started twice on the same folders.
+
+    First the event lines and a broken half of each, then, as later files, the same ids with other texts and one line without an id.
+    """
+    source, root = new_run_dir(spark, "raw"), new_run_dir(spark, "collector")
+    lines = inp.raw_records(spark, sf)
+    broken = lines.select(F.substring("raw", F.lit(1), F.length("raw") - 1).alias("raw"))
+    late = lines.select(F.regexp_replace("raw", '"text":"', '"text":"late ').alias("raw"))
+    nameless = late.select(F.regexp_replace("raw", r'"id":(\d+),"text"', '"number":$1,"text"').alias("raw"))
+    for number, part in enumerate((lines.unionByName(broken), late.unionByName(nameless))):
+        part.select(F.col("raw").alias("value")).write.text(f"{source}/part={number}")
+        for running in collect.collect(spark, f"{source}/*", root):
+            running.awaitTermination()
+    return root
+
+
+@query
+def collect_stream(spark, sf):
+    """Posts and lines the collector stored: every id once, in its first form."""
+    root = _collected_stream(spark, sf)
+    posts = out.read_batches(spark, root, "posts")
+    lines = spark.read.schema(POST_LINES).json(f"{root}/post_lines")
+    lines = lines.select("id", F.col("text").alias("line_text"))
+    return posts.join(lines, "id").select("id", "text", "line_text", "user_name", "hashtags", "urls", "timestamp", "user_mentions")
+
+
+@query
+def collect_quarantine(spark, sf):
+    """Lines the collector set apart, with the reason."""
+    bad = spark.read.parquet(f"{_collected_stream(spark, sf)}/quarantine")
+    number = F.regexp_extract("raw", r'"(?:id|number)":(\d+)', 1).cast("long")
+    return bad.select(number.alias("id"), "reason")
+
+
 @query
 def merge_sink(spark, sf):
     root, rows = inp.stored(inp.report(spark, sf), "cluster_info")
@@ -606,13 +642,18 @@ def vector_mean(spark, sf):
 
 @query
 def throughput(spark, sf):
-    """Posts counted by the progress reports of a finished stream."""
+    """Rows, duration and rate of every micro-batch of a stream, stored by a listener and held against each other."""
     lines = src.stream_posts(spark, inp.post_lines(spark, sf))
     path = new_run_dir(spark, "stream")
-    sink = lines.writeStream.format("parquet").option("checkpointLocation", f"{path}/progress")
-    done = sink.trigger(availableNow=True).start(f"{path}/posts")
-    done.awaitTermination()
-    return run.throughput(done).agg(F.sum("posts").alias("posts"))
+    sink = lines.writeStream.format("parquet").option("checkpointLocation", f"{path}/progress").option("path", f"{path}/posts")
+    progress.finish(progress.start_observed(spark, sink.trigger(availableNow=True), path))
+    apart = F.abs(F.col("posts") / F.col("posts_per_second") - F.col("seconds"))  # two clocks, read milliseconds apart
+    return progress.throughput(spark, path).agg(
+        F.sum("posts").alias("posts"),
+        F.count_if((F.col("seconds") <= 0) | (apart > 0.05 + 0.02 * F.col("seconds"))).alias("disagreements"),
+        F.max(F.col("batch_id") + 1).alias("last_batch"),
+        F.count("*").alias("batches"),
+    ).select("posts", "disagreements", (F.col("batches") == F.col("last_batch")).alias("all_stored"))
 
 
 # --- history ------------------------------------------------------------------------------------
@@ -768,7 +809,7 @@ def run_stream(spark, sf):
         lines.filter(F.col("batch_index") == batch).drop("batch_index").coalesce(1).write.json(f"{source}/part={batch}")
     lines.unpersist()
     root = run.new_run(spark)
-    run.run_stream(src.stream_posts(spark, f"{source}/*"), root).awaitTermination()
+    progress.finish(run.run_stream(src.stream_posts(spark, f"{source}/*"), root))
     rows = qu.rank_by_silhouette(out.read_batches(spark, root, "cluster_info"))
     return rows.select("batch_id", "cluster_id", "count", "silhouette", "intra", "inter", "interesting", "rep_id", "best_url")
 

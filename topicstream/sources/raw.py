@@ -36,7 +36,7 @@ def drop_control_records(parsed: DataFrame) -> DataFrame:
 
 def flatten_quotes(parsed: DataFrame) -> DataFrame:
     """Follow ``quoted_status``: id and time of the outer post, all texts in order, and user and entities
-    of the innermost post. A post is dropped if any quoted post on the way is not English.
+    of the innermost post. A post is dropped if any quoted post on the way is not English. Posts on the way without a text add none.
 
     Adds ``id``, ``text``, ``timestamp_ms``, ``level`` (the number of quotes followed), ``user`` and ``entities``. Every row is folded
     by itself, one level a step, as deep as it is nested: every level needs an opening brace of its own, so the number
@@ -50,10 +50,11 @@ def flatten_quotes(parsed: DataFrame) -> DataFrame:
 
     def step(state: Column, _: Column) -> Column:
         inner = quoted(state["post"])
+        said = F.try_variant_get(inner, "$.text", "string")
         is_english = F.coalesce(F.try_variant_get(inner, "$.lang", "string") == "en", F.lit(False))
         deeper = F.struct(
             inner.alias("post"),
-            F.concat(state["text"], F.lit(QUOTE_MARK), F.try_variant_get(inner, "$.text", "string")).alias("text"),
+            F.coalesce(F.concat(state["text"], F.lit(QUOTE_MARK), said), state["text"], said).alias("text"),
             (state["level"] + 1).alias("level"),
             (state["english"] & is_english).alias("english"),
         )
@@ -99,10 +100,11 @@ def extract_entities(flat: DataFrame) -> DataFrame:
     )
 
 
-def project_post(flat: DataFrame) -> DataFrame:
-    """The nine collected fields; entity lists are comma-joined as in the collected lines."""
+def project_post(flat: DataFrame, *keep: str) -> DataFrame:
+    """The nine collected fields and the columns to keep; entity lists are comma-joined as in the collected lines."""
     user = F.col("user")
     return flat.select(
+        *keep,
         "id",
         "text",
         F.try_variant_get(user, "$.id", "bigint").alias("user_id"),
@@ -115,9 +117,16 @@ def project_post(flat: DataFrame) -> DataFrame:
     )
 
 
-def collect_posts(parsed: DataFrame) -> DataFrame:
+def collect_posts(parsed: DataFrame, *keep: str) -> DataFrame:
     """Raw records to collected lines: control filter, quotes, entities, projection."""
-    return project_post(extract_entities(flatten_quotes(drop_control_records(parsed))))
+    return project_post(extract_entities(flatten_quotes(drop_control_records(parsed))), *keep)
+
+
+def rejected(parsed: DataFrame) -> DataFrame:
+    """Lines that cannot become posts, with the ``reason``; control records are no such lines."""
+    nameless = drop_control_records(parsed).filter(F.try_variant_get("record", "$.id", "bigint").isNull())
+    lines = quarantined(parsed).withColumn("reason", F.lit("not JSON"))
+    return lines.unionByName(nameless.withColumn("reason", F.lit("no id"))).drop("record")
 
 
 def first_per_id(rows: DataFrame, *order: str) -> DataFrame:
@@ -126,8 +135,11 @@ def first_per_id(rows: DataFrame, *order: str) -> DataFrame:
     return rows.groupBy("id").agg(F.min(F.struct(*order, *rest)).alias("r")).select("id", *[f"r.{c}" for c in rows.columns if c != "id"])
 
 
-def upsert_posts(new: DataFrame, arrival: str, stored: DataFrame | None = None) -> DataFrame:
-    """First row per id by the ``arrival`` column, ties by content; ids that are stored already are ignored."""
+def upsert_posts(new: DataFrame, arrival: str | tuple[str, ...], stored: DataFrame | None = None) -> DataFrame:
+    """First row per id by the ``arrival`` columns, ties by content; ids that are stored already are ignored.
+
+    The form for tables; a stream of files keeps the seen ids as state (``streaming/collect.py``).
+    """
     if stored is not None:
         new = new.join(stored.select("id"), "id", "left_anti")
-    return first_per_id(new, arrival)
+    return first_per_id(new, *([arrival] if isinstance(arrival, str) else arrival))
