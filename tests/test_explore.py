@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from topicstream.operators import batch_clustering as bc
 from topicstream.operators import explore as ex
+from topicstream.operators import word_space as ws
 
 
 def tags(spark, rows):
@@ -119,16 +120,54 @@ def test_dbscan_folds_copies(spark):
     assert got == {i: 0 for i in range(6)} | {6: -1, 7: -1, 8: -1}
 
 
-def test_kmeans_lsa_and_sweep(spark):
+def space_of(spark, x):
+    x = x / np.linalg.norm(x, axis=1, keepdims=True)
+    rows = [(i, f"w{j}", float(v)) for i, row in enumerate(x) for j, v in enumerate(row) if v]
+    return x, ws.word_space(spark.createDataFrame(rows, "id long, word string, w double"))
+
+
+def plain_kmeans(x, k, rounds):
+    import hashlib
+
+    order = sorted(range(len(x)), key=lambda i: (hashlib.md5(str(i).encode()).hexdigest(), i))[:k]
+    centers = x[order].copy()
+    nearest = lambda: np.round(((x[:, None] - centers[None]) ** 2).sum(2), 9).argmin(1)
+    for _ in range(rounds):
+        own = nearest()
+        for c in range(k):
+            if (own == c).any():
+                centers[c] = x[own == c].mean(0)
+    return nearest()
+
+
+def test_kmeans_and_silhouette_of_sparse_posts(spark):
     rng = np.random.default_rng(0)
-    points = np.concatenate([rng.normal(0, 0.1, (20, 3)) + [5, 0, 0], rng.normal(0, 0.1, (20, 3)) + [0, 5, 0]])
-    df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "id long, tfidf array<double>")
-    labels = {r["id"]: r["label"] for r in bc.kmeans_batch(df, k=2).collect()}
-    assert len({labels[i] for i in range(20)}) == 1 and labels[0] != labels[20]
-    sweep = {r["k"]: r["silhouette"] for r in bc.silhouette_sweep(df, [2, 5]).collect()}
-    assert sweep[2] > sweep[5]
-    got = {r["id"]: r["reduced"] for r in bc.lsa_reduce(df).collect()}
-    basis = np.linalg.svd(points, full_matrices=False)[2][:2]
-    want = points @ basis.T
+    x = np.where(rng.random((60, 25)) < 0.25, rng.random((60, 25)), 0)
+    x[:, 0] += 0.01
+    x[20] = x[21] = x[22]
+    x, space = space_of(spark, x)
+    for k in (1, 4, 60, 80):
+        got = {r["id"]: r["label"] for r in ws.kmeans_labels(space, k, 3).collect()}
+        assert [got[i] for i in range(60)] == plain_kmeans(x, min(k, 60), 3).tolist()
+    own = plain_kmeans(x, 4, 3)
+    away = np.array([[((x[i] - x[own == c]) ** 2).sum() / max(1, (own == c).sum() - (own[i] == c)) for c in range(4)] for i in range(60)])
+    want = []
+    for i in range(60):
+        a, b = away[i, own[i]], min(away[i, c] for c in range(4) if c != own[i] and (own == c).any())
+        want.append((b - a) / max(a, b) if (own == own[i]).sum() > 1 else 0.0)
+    assert abs(ws.silhouette(space, 4, 3) - np.mean(want)) < 1e-9
+
+
+def test_latent_semantics_of_sparse_posts(spark):
+    rng = np.random.default_rng(1)
+    x, space = space_of(spark, np.where(rng.random((50, 40)) < 0.2, rng.random((50, 40)), 0) + np.eye(50, 40) + 0.02 * (np.arange(40) == 3))
+    got = {r["id"]: r["reduced"] for r in ws.lsa_reduce(space, 2).collect()}
+    want = x @ np.linalg.svd(x, full_matrices=False)[2][:2].T
     want /= np.linalg.norm(want, axis=1, keepdims=True)
-    assert np.allclose(np.abs([got[i] for i in range(40)]), np.abs(want), atol=1e-6)
+    assert np.allclose(np.abs([got[i] for i in range(50)]), np.abs(want), atol=1e-6)
+
+
+def test_a_block_too_large_is_refused(spark):
+    _, space = space_of(spark, np.eye(6))
+    with pytest.raises(ValueError, match="min_df"):
+        ws.WordSpace(space.posts, space.size, 100).share(np.zeros((6, 6)))

@@ -1,4 +1,5 @@
 import json
+import random
 
 from pyspark.sql import functions as F
 
@@ -77,8 +78,21 @@ def test_terms(spark):
     got = terms.term_union(line("site com", "other org "), line("breaking", "site com"), line("Some Paper - @Handle"))
     assert sorted(r["term"] for r in got.collect()) == ["Handle", "breaking", "other org", "site com"]
     posts = spark.createDataFrame([(1, "com at Site"), (2, "site only"), (3, "BREAKING now"), (4, "")], "id long, text string")
-    assert [r["id"] for r in terms.track_filter(posts, ["site com", "breaking"]).orderBy("id").collect()] == [1, 3]
-    assert terms.track_filter(posts, []).count() == 0
+    of = lambda *t: spark.createDataFrame([(x,) for x in t], "term string")
+    assert [r["id"] for r in terms.track_filter(posts, of("site com", "breaking", "  ", "COM  site")).orderBy("id").collect()] == [1, 3]
+    assert terms.track_filter(posts, of()).count() == 0
+
+
+def test_track_filter_with_many_phrases_is_brute_force(spark):
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(60)]
+    phrases = [" ".join(rng.choice(words + ["absent"]) for _ in range(rng.randint(1, 4))) for _ in range(2000)]
+    phrases = [p for p in phrases if len(set(p.split())) > 2] + ["w1 absent", "w7"]
+    rows = [(i % 30, " ".join(rng.choice(words).upper() for _ in range(rng.randint(0, 9)))) for i in range(200)] + [(5, None), (6, "w7"), (6, "w7")]
+    posts = spark.createDataFrame(rows, "id long, text string")
+    got = terms.track_filter(posts, spark.createDataFrame([(p,) for p in phrases], "term string")).collect()
+    want = [r for r in rows if r[1] is not None and any(set(p.split()) <= set(r[1].lower().split()) for p in phrases)]
+    assert sorted((r["id"], r["text"]) for r in got) == sorted(want) and 0 < len(want) < len(rows)
 
 
 def test_positions_over_many_ranges(spark):

@@ -154,13 +154,6 @@ TERMS = f"""SELECT DISTINCT trim(t) AS term FROM (SELECT replace(lower({HOSTS}),
   UNION ALL SELECT n_name FROM nation UNION ALL SELECT replace(s_name, '#', '_') FROM supplier)"""
 
 
-def _phrases() -> str:
-    tests = []
-    for phrase in PHRASES:
-        tests.append("(" + " AND ".join(f"list_contains(t, {_text(w)})" for w in phrase.lower().split()) + ")")
-    return " OR ".join(tests)
-
-
 def _words_of(keep: str, expression: str) -> str:
     return (
         f"WITH {ALL_DOCS} SELECT id, array_to_string(list_filter(list_transform({SPLIT}, lambda w: {expression}), "
@@ -197,6 +190,56 @@ reach AS (SELECT id AS a, id AS b FROM core UNION SELECT r.a, l.b FROM reach r J
 labels_of AS (SELECT b AS id, min(a) AS label FROM reach GROUP BY b),
 border AS (SELECT n.b AS id, min(l.label) AS label FROM near n JOIN labels_of l ON l.id = n.a GROUP BY n.b)"""
 
+# The products of all pairs of posts stand in for their word vectors: distances to a mean and the strongest directions follow from them.
+KERNEL = f"""{TFIDF.replace("tfidf AS (", "tfidf AS MATERIALIZED (", 1)},
+kernel AS MATERIALIZED (SELECT a.id AS i, b.id AS j, sum(a.w * b.w) AS p FROM tfidf a JOIN tfidf b ON a.word = b.word GROUP BY a.id, b.id),
+points AS MATERIALIZED (SELECT DISTINCT id FROM tfidf)"""
+
+
+def _kmeans(k: int, name: str, rounds: int = 10) -> str:
+    """Members (c, j) of each center round by round; a center without posts keeps its members. Ends in {name} (id, label)."""
+    parts = [f"{name}_m0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY md5(id::VARCHAR), id) - 1 AS c, id AS j FROM points QUALIFY c < {k})"]
+    for r in range(rounds + 1):
+        parts.append(f"""{name}_n{r} AS MATERIALIZED (SELECT a.c, sum(coalesce(p, 0)) / any_value(n * n) AS norm, any_value(n) AS n FROM {name}_m{r} a
+  JOIN {name}_m{r} b USING (c) JOIN (SELECT c, count(*) AS n FROM {name}_m{r} GROUP BY c) z USING (c)
+  LEFT JOIN kernel k ON k.i = a.j AND k.j = b.j GROUP BY a.c),
+{name}_d{r} AS MATERIALIZED (SELECT i, c, sum(p) AS s FROM kernel JOIN {name}_m{r} USING (j) GROUP BY i, c),
+{name}_a{r} AS MATERIALIZED (SELECT id, c AS label FROM (SELECT q.id, q.c, row_number() OVER (PARTITION BY q.id
+  ORDER BY round(norm - 2 * coalesce(s, 0) / n, 9), q.c) AS place FROM (SELECT * FROM points CROSS JOIN {name}_n{r}) q
+  LEFT JOIN {name}_d{r} d ON d.c = q.c AND d.i = q.id) WHERE place = 1)""")
+        if r < rounds:
+            parts.append(f"""{name}_m{r + 1} AS MATERIALIZED (SELECT label AS c, id AS j FROM {name}_a{r}
+  UNION ALL SELECT c, j FROM {name}_m{r} WHERE c NOT IN (SELECT label FROM {name}_a{r}))""")
+    return ",\n".join(parts) + f",\n{name} AS (SELECT * FROM {name}_a{rounds})"
+
+
+def _silhouette(k: int) -> str:
+    """Mean silhouette of the labels by squared distances between unit vectors."""
+    name = f"k{k}"
+    return f"""{_kmeans(k, name)},
+{name}_size AS (SELECT label, count(*) AS n FROM {name} GROUP BY label),
+{name}_sum AS (SELECT i, label, sum(p) AS s FROM kernel JOIN {name} ON id = j GROUP BY i, label),
+{name}_far AS (SELECT o.id, o.label AS own, z.label, z.n, 2 - 2 * coalesce(s, 0) / z.n AS d FROM {name} o CROSS JOIN {name}_size z
+  LEFT JOIN {name}_sum t ON t.i = o.id AND t.label = z.label),
+{name}_ab AS (SELECT id, max(CASE WHEN label = own THEN d * n / greatest(n - 1, 1) END) AS a, min(CASE WHEN label <> own THEN d END) AS b,
+  max(CASE WHEN label = own THEN n END) AS n FROM {name}_far GROUP BY id)"""
+
+
+SWEEP = (5, 10, 20)
+# Two directions at once, kept orthogonal: products with the kernel, then Gram-Schmidt.
+LSA = f"""{KERNEL},
+lines AS MATERIALIZED (SELECT q.id AS i, list(coalesce(p, 0.0) ORDER BY o.id) AS r FROM points q CROSS JOIN points o
+  LEFT JOIN kernel k ON k.i = q.id AND k.j = o.id GROUP BY q.id),
+walk AS (SELECT 0 AS t, list(1.0::DOUBLE ORDER BY i) AS x, list(cos(i::DOUBLE) ORDER BY i) AS y FROM lines
+  UNION ALL SELECT t + 1, list_transform(x, lambda v: v / sqrt(xx)) AS x, list_transform(z, lambda v: v / sqrt(list_dot_product(z, z))) AS y FROM (
+    SELECT t, x, xx, list_transform(list_zip(x, y), lambda v: v[2] - xy / xx * v[1]) AS z FROM (
+      SELECT *, list_dot_product(x, x) AS xx, list_dot_product(x, y) AS xy FROM (
+        SELECT any_value(w.t) AS t, list(list_dot_product(r, w.x) ORDER BY i) AS x, list(list_dot_product(r, w.y) ORDER BY i) AS y FROM walk w, lines WHERE w.t < 600)
+      WHERE t IS NOT NULL))),
+done AS (SELECT x, y FROM walk ORDER BY t DESC LIMIT 1),
+spots AS (SELECT i, list_dot_product(r, x) AS px, list_dot_product(r, y) AS py FROM lines, done),
+scale AS (SELECT sqrt(sum(px * px)) AS sx, sqrt(sum(py * py)) AS sy FROM spots)"""
+
 ORACLE = {
     # sources
     "read_posts": f"WITH {ALL_DOCS} SELECT id, text, CASE WHEN lang <> 'en' THEN source || ' ' || lang ELSE '' END AS urls, "
@@ -240,7 +283,10 @@ FROM f WHERE other = 0""",
     "extract_entities": f"WITH {EVENT_POSTS} SELECT id, hashtags, NULL::VARCHAR AS urls, mention AS mentions FROM kept",
     "project_post": f"WITH {EVENT_POSTS} SELECT id, text, author_id AS user_id, author AS user_name, followers AS followers_count, "
     "hashtags, NULL::VARCHAR AS urls, timestamp_ms AS timestamp, mention AS user_mentions FROM kept",
-    "track_filter": f"SELECT id, lang FROM (SELECT doc_id AS id, lang, {SPLIT} AS t FROM documents) WHERE {_phrases()}",
+    "track_filter": f"WITH p AS (SELECT unnest([{', '.join(_text(p) for p in PHRASES)}]) AS term "
+    "UNION ALL SELECT array_to_string(string_split(text, ' ')[1:2], ' ') FROM benchmark), "
+    "q AS (SELECT list_filter(regexp_split_to_array(lower(term), '\\s+'), lambda w: w <> '') AS w FROM p) "
+    f"SELECT id, lang FROM (SELECT doc_id AS id, lang, {SPLIT} AS t FROM documents) d WHERE EXISTS (SELECT 1 FROM q WHERE len(w) > 0 AND list_has_all(t, w))",
     "nonempty_guard": f"WITH {VECTORS} SELECT 1::BIGINT AS batch_id, count(*) FILTER (s > 0) AS posts, "
     "count(*) FILTER (s <= 0) AS unclustered FROM vectors",
     "filter_collisions": f"WITH {TOKENS}, v AS (SELECT word, {_bucket(20000)} AS bucket FROM vocabulary) SELECT * FROM "
@@ -365,6 +411,26 @@ SELECT * FROM (SELECT source AS cluster_id, size, row_number() OVER (PARTITION B
     "round(list_sum(c), 4) AS total FROM numbered",
     "merge_clusters": f"WITH RECURSIVE {MERGED} SELECT id AS cluster_id, (weight + coalesce(w, 0))::DOUBLE AS weight "
     "FROM e LEFT JOIN gained USING (id), final WHERE NOT list_contains(gone, id)",
+    "kmeans_batch": f"WITH {KERNEL}, {_kmeans(75, 'km')} SELECT id, label::INTEGER AS label FROM km",
+    "silhouette_sweep": f"WITH {KERNEL}, {', '.join(_silhouette(k) for k in SWEEP)} "
+    + " UNION ALL ".join(
+        f"SELECT {k}::INTEGER AS k, round(avg(CASE WHEN n > 1 AND b IS NOT NULL THEN (b - a) / greatest(a, b) ELSE 0.0 END), 6) AS silhouette FROM k{k}_ab"
+        for k in SWEEP
+    ),
+    "explore_clusters": f"""WITH {KERNEL}, {_kmeans(20, 'km')}, {GROUPS},
+l AS (SELECT id, label::BIGINT AS cluster_id FROM km), sizes AS (SELECT cluster_id, count(*) AS size FROM l GROUP BY cluster_id),
+words AS (SELECT cluster_id, word, row_number() OVER (PARTITION BY cluster_id ORDER BY round(sum(w) / any_value(size), 9) DESC, word) AS place
+  FROM tfidf JOIN l USING (id) JOIN sizes USING (cluster_id) GROUP BY cluster_id, word),
+tags AS (SELECT cluster_id, source, first_value(source) OVER (PARTITION BY cluster_id ORDER BY id) AS first FROM l JOIN posts USING (id)),
+wrong AS (SELECT cluster_id, count(*) FILTER (source <> first) AS wrong FROM tags GROUP BY cluster_id),
+per_word AS (SELECT cluster_id, word, count(*) AS c FROM counts JOIN l USING (id) GROUP BY ALL),
+cohesion AS (SELECT cluster_id, round(sum(c * c) / sum(c) / any_value(size), 6) AS score FROM per_word JOIN sizes USING (cluster_id) WHERE size > 1 GROUP BY cluster_id),
+copies AS (SELECT cluster_id, count(*) AS with_copies FROM groups g JOIN l ON l.id = g.rep_id GROUP BY cluster_id)
+SELECT cluster_id, size, word AS top_word, wrong, score, with_copies FROM sizes LEFT JOIN (SELECT * FROM words WHERE place = 1) USING (cluster_id)
+LEFT JOIN wrong USING (cluster_id) LEFT JOIN cohesion USING (cluster_id) LEFT JOIN copies USING (cluster_id)""",
+    # a post's place on a direction is the product of its line of the kernel with the direction, over the root of its length
+    "lsa_reduce": f"WITH RECURSIVE {LSA} SELECT i AS id, round(abs(px / sqrt(sx)) / sqrt(px * px / sx + py * py / sy), 4) AS x, "
+    "round(abs(py / sqrt(sy)) / sqrt(px * px / sx + py * py / sy), 4) AS y FROM spots, scale",
     "dbscan": f"WITH RECURSIVE {DBSCAN} SELECT p.id, coalesce(l.label, b.label, -1) AS label FROM points p "
     "LEFT JOIN labels_of l USING (id) LEFT JOIN border b USING (id)",
     "model_append": f"WITH {EMBEDDINGS} SELECT cluster_id, weight FROM centers UNION ALL SELECT cluster_id + 100, 0.0 FROM centers",
@@ -373,7 +439,12 @@ SELECT * FROM (SELECT source AS cluster_id, size, row_number() OVER (PARTITION B
     "round(sum(c * c), 6) AS norm2 FROM trained GROUP BY cluster_id",
     "expire_clusters": f"WITH {TRAINED}, w AS (SELECT cluster_id, any_value(weight) AS weight FROM trained GROUP BY cluster_id) "
     "SELECT cluster_id, round(weight, 4) AS weight FROM w WHERE weight >= (SELECT avg(weight) FROM w)",
-    "keep_one": f"WITH {VECTORS} SELECT id FROM vectors WHERE s > 0",
+    "keep_one": f"WITH RECURSIVE {ADMITTED} SELECT n + n - pos + 1 AS cluster_id FROM numbered",
+    "init_random": """WITH f AS (SELECT count(DISTINCT label) AS k, max(len(embedding)) AS dims, max(label) + 1 AS first FROM embeddings WHERE label IS NOT NULL),
+c AS (SELECT unnest(range(first, first + k))::BIGINT AS cluster_id, dims FROM f), d AS (SELECT cluster_id, unnest(range(dims)) AS i FROM c),
+u AS (SELECT *, (('0x' || substr(md5('7:' || cluster_id || ':' || (i + 1) || ':r'), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296 AS r,
+  (('0x' || substr(md5('7:' || cluster_id || ':' || (i + 1) || ':a'), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296 AS a FROM d)
+SELECT cluster_id, 2.0::DOUBLE AS weight, i::INTEGER AS i, round(sqrt(-2 * ln(r)) * cos(2 * pi() * a), 6) AS x FROM u""",
     "stable_id": f"WITH {EMBEDDINGS}, heavy AS (SELECT * FROM centers WHERE weight >= (SELECT avg(weight) FROM centers)), "
     f"{_nearest('heavy')} SELECT id, cluster_id FROM nearest",
     "assign_after_update": f"WITH {VECTORS} SELECT count(*) AS posts, 0::BIGINT AS differences FROM vectors WHERE s > 0",

@@ -15,6 +15,7 @@ from topicstream.operators import features as fe
 from topicstream.operators import model as mo
 from topicstream.operators import nearest as ne
 from topicstream.operators import quality as qu
+from topicstream.operators import word_space as ws
 from topicstream.plans import history as hi
 from topicstream.plans import inputs as inp
 from topicstream.schemas import POST_LINES
@@ -284,7 +285,11 @@ def project_post(spark, sf):
 
 @query
 def track_filter(spark, sf):
-    return terms.track_filter(docs(spark, sf), list(PHRASES)).select("id", "lang")
+    """Phrases from a table: a fixed few and the first two words of every benchmark item."""
+    fixed = spark.createDataFrame([(p,) for p in PHRASES], "term string")
+    first = F.array_join(F.slice(F.split("text", " "), 1, 2), " ")
+    listed = fixed.unionByName(inp.table(spark, sf, "benchmark").select(first.alias("term")))
+    return terms.track_filter(docs(spark, sf), listed).select("id", "lang")
 
 
 @query
@@ -399,10 +404,16 @@ def tfidf_l2(spark, sf):
     return rows.select("id", "word", F.round("w", 6).alias("w"))
 
 
+def _word_space(spark, sf):
+    return ws.word_space(ex.tfidf_l2(inp.posts(spark, sf)))
+
+
 @query
 def lsa_reduce(spark, sf):
-    rows = bc.lsa_reduce(inp.features(spark, sf))
-    return rows.select("id", F.col("reduced")[0].alias("x"), F.col("reduced")[1].alias("y"))
+    """Without signs, which a singular vector does not have."""
+    rows = ws.lsa_reduce(_word_space(spark, sf))
+    size = lambda i: F.round(F.abs(F.col("reduced")[i]), 4)
+    return rows.select("id", size(0).alias("x"), size(1).alias("y"))
 
 
 # --- vectors and joins --------------------------------------------------------------------------
@@ -709,8 +720,12 @@ def init_model(spark, sf):
 
 @query
 def init_random(spark, sf):
-    model = mo.sample_model(inp.embeddings(spark, sf), 25, seed=7)
-    return model.select("cluster_id", "weight", F.round(vector_sum(F.col("center")), 6).alias("total"))
+    """As many drawn centers as there are labels, of the embeddings' length, numbered after the highest label."""
+    model = inp.label_model(inp.embeddings(spark, sf))
+    facts = model.agg(F.count("*").alias("k"), F.max(F.size("center")).alias("dims"), F.max("cluster_id").alias("top")).head()
+    drawn, _ = mo.random_model(spark, facts["k"], facts["dims"], facts["top"] + 1, weight=2.0, seed=7)
+    cells = mo.model_append(model, drawn).filter(F.col("cluster_id") > facts["top"])
+    return cells.select("cluster_id", "weight", F.posexplode("center").alias("i", "x")).select("cluster_id", "weight", "i", F.round("x", 6).alias("x"))
 
 
 @query
@@ -756,10 +771,12 @@ def expire_clusters(spark, sf):
 
 @query
 def keep_one(spark, sf):
-    """When all clusters expire, the next batch starts from nothing: all its posts are candidates."""
-    rows = staged_table(inp.features(spark, sf), "features")
-    gone = mo.expire_clusters(inp.source_model(rows), math.inf)
-    return mo.distant_candidates(rows, gone).select("id")
+    """All clusters of the first batch expire in it; the second one starts from nothing, with ids after those of the first."""
+    posts, root = inp.posts(spark, sf), run.new_run(spark)
+    run.step(posts, 0, root, run.StreamSettings(min_weight=math.inf))
+    run.step(posts, 1, root, run.StreamSettings(merge_threshold=0.0, min_weight=0.0))
+    model, _ = run.read_model(spark, root, 0)
+    return run.read_model(spark, root, 1)[0].unionByName(model).select("cluster_id")
 
 
 @query
@@ -819,12 +836,31 @@ def run_stream(spark, sf):
 
 @query
 def kmeans_batch(spark, sf):
-    return bc.kmeans_batch(inp.features(spark, sf), k=75)
+    return ws.kmeans_labels(_word_space(spark, sf), k=75)
 
 
 @query
 def silhouette_sweep(spark, sf):
-    return bc.silhouette_sweep(inp.embeddings(spark, sf), [5, 10, 20])
+    rows = ws.silhouette_sweep(_word_space(spark, sf), [5, 10, 20])
+    return rows.withColumn("silhouette", F.round("silhouette", 6))
+
+
+@query
+def explore_clusters(spark, sf):
+    """The exploration job: k-means labels over word weights go through sizes, words, cohesion, purity and duplicates."""
+    posts = inp.posts(spark, sf)
+    tfidf = staged_table(ex.tfidf_l2(posts), "tfidf")
+    labels = staged_table(ws.kmeans_labels(ws.word_space(tfidf), k=20), "labels").select("id", F.col("label").cast("long").alias("cluster_id"))
+    labelled = posts.join(labels, "id")
+    groups = ex.duplicate_groups(posts)
+    shared = ex.propagate_labels(groups, labels.withColumnRenamed("cluster_id", "label")).groupBy(F.col("label").alias("cluster_id")).agg(F.count("*").alias("with_copies"))
+    first = ex.top_terms(tfidf, labels, clusters=20, terms=1).select("cluster_id", F.col("word").alias("top_word"))
+    tagged = ex.hashtag_eval_rows(labelled.withColumn("tag", F.col("source").cast("string")), "cluster_id", "tag", "id")
+    purity = tagged.groupBy("cluster_id").agg(F.count_if("wrong_within").alias("wrong"))
+    sizes = labels.groupBy("cluster_id").agg(F.count("*").alias("size"))
+    cohesion = ex.cluster_cohesion(labelled).select("cluster_id", F.round("score", 6).alias("score"))
+    rows = sizes.join(first, "cluster_id", "left").join(purity, "cluster_id", "left").join(cohesion, "cluster_id", "left")
+    return rows.join(shared, "cluster_id", "left").select("cluster_id", "size", "top_word", "wrong", "score", "with_copies")
 
 
 @query

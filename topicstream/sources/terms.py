@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicstream.functions.text import tokenize
+from topicstream.session import staged_table
 
 
 def term_union(domains: DataFrame, keywords: DataFrame, outlets: DataFrame) -> DataFrame:
@@ -19,18 +20,33 @@ def read_terms(spark: SparkSession, domains: str, keywords: str, outlets: str) -
     return term_union(spark.read.text(domains), spark.read.text(keywords), spark.read.text(outlets))
 
 
-def track_filter(posts: DataFrame, terms: list[str], text: str = "text") -> DataFrame:
-    """Posts that contain all words of at least one term.
+def phrase_words(terms: DataFrame) -> DataFrame:
+    """(phrase, words): the distinct words of every term, each set of words once; ``phrase`` is its digest."""
+    words = F.array_sort(F.array_distinct(F.filter(F.split(F.lower("term"), r"\s+"), lambda w: w != "")))
+    sets = terms.select(words.alias("words")).filter(F.size("words") > 0)
+    return sets.select(F.md5(F.array_join("words", " ").cast("binary")).alias("phrase"), "words").dropDuplicates(["phrase"])
 
-    The term list is a parameter of the query, like a stop list. Per post the words are first cut down
-    to those that occur in any term, so the check per term only looks at a few words.
+
+def track_filter(posts: DataFrame, terms: DataFrame, text: str = "text") -> DataFrame:
+    """Posts that contain all words of at least one row of ``terms`` (term).
+
+    The terms are a table of any length. Every phrase waits under its rarest word, as counted over the distinct texts; a text that has
+    that word must then have as many of the phrase's words as the phrase has. So frequent words are looked up for the few texts that
+    could still match, and copies of a text are looked up once. A post without text contains no term.
     """
-    phrases = sorted({tuple(sorted(set(t.lower().split()))) for t in terms if t.strip()})
-    words = sorted({w for p in phrases for w in p})
-    if not phrases:
-        return posts.limit(0)
-    listed = F.array(*[F.array(*[F.lit(w) for w in p]) for p in phrases])
-    hits = F.array_intersect(tokenize(F.col(text)), F.array(*[F.lit(w) for w in words]))
-    # the hits are bound to a lambda variable, so that they are formed once per post and not once per term
-    found = F.exists(F.array(hits), lambda h: F.exists(listed, lambda p: F.size(F.array_except(p, h)) == 0))
-    return posts.filter(found)
+    keyed = posts.withColumn("_text", F.md5(F.col(text).cast("binary")))
+    phrases = staged_table(phrase_words(terms), "phrases")
+    listed = phrases.select("phrase", F.explode("words").alias("word"))
+    tracked = listed.select("word").distinct()
+    texts = keyed.filter(F.col(text).isNotNull()).select("_text", F.explode(F.array_distinct(tokenize(F.col(text)))).alias("word"))
+    found = staged_table(texts.join(tracked, "word", "left_semi").distinct(), "tracked-words")
+    counts = found.groupBy("word").agg(F.count("*").alias("n"))
+    rarest = listed.join(counts, "word").groupBy("phrase").agg(F.min_by("word", F.struct("n", "word")).alias("word"), F.count("*").alias("known"))
+    waiting = phrases.join(rarest, "phrase").filter(F.col("known") == F.size("words"))
+    waiting = waiting.select("word", "phrase", F.filter("words", lambda w: w != F.col("word")).alias("rest"))
+    met = staged_table(found.join(waiting, "word").select("_text", "phrase", "rest"), "phrases-met")
+    whole = met.filter(F.size("rest") == 0).select("_text")
+    asked = met.select("_text", "phrase", F.size("rest").alias("n"), F.explode("rest").alias("word"))
+    seen = asked.join(found, ["_text", "word"]).groupBy("_text", "phrase").agg(F.count("*").alias("seen"), F.max("n").alias("n"))
+    matched = whole.union(seen.filter(F.col("seen") == F.col("n")).select("_text")).distinct()
+    return keyed.join(matched, "_text", "left_semi").select(*posts.columns)
