@@ -320,13 +320,15 @@ def met_in_blocks(opened: DataFrame, nodes: DataFrame, settings: Settings) -> Da
     bands = bands.filter("parts > 1").select(
         "key", F.col("big.component").alias("largest"), number(F.col("w") - F.col("big.w")).alias("of_open"), number(F.col("w")).alias("of_all")
     )
-    rows = opened.join(bands, "key").withColumn("open", F.col("component") != F.col("largest")).join(nodes, "digest")
     block = lambda seed, count: F.pmod(F.xxhash64(F.lit(seed), "digest"), F.col(count)).cast("int")
-    every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
-    columns = ["digest", "n", "component", "open", *[c for c in nodes.columns if c != "digest"]]
-    asks = rows.filter("open").select("key", block(1, "of_open").alias("o"), every("of_all").alias("s"), F.lit(True).alias("asks"), *columns)
-    stored = rows.select("key", every("of_open").alias("o"), block(2, "of_all").alias("s"), F.lit(False).alias("asks"), *columns)
-    return asks.unionByName(stored)
+    every = lambda count: F.sequence(F.lit(0), F.col(count) - 1)
+    role = lambda o, s, asks: F.struct(o.alias("o"), s.alias("s"), F.lit(asks).alias("asks"))
+    as_stored = F.transform(every("of_open"), lambda o: role(o, block(2, "of_all"), False))
+    as_asking = F.transform(every("of_all"), lambda s: role(block(1, "of_open"), s, True))
+    rows = opened.join(bands, "key").withColumn("open", F.col("component") != F.col("largest"))
+    roles = F.explode(F.when(F.col("open"), F.concat(as_stored, as_asking)).otherwise(as_stored)).alias("role")
+    dealt = rows.select("key", "digest", "n", "component", "open", roles).join(nodes, "digest")
+    return dealt.select("key", "role.*", "digest", "n", "component", "open", *[c for c in nodes.columns if c != "digest"])
 
 
 def likely(dealt: DataFrame, settings: Settings) -> DataFrame:
@@ -361,6 +363,27 @@ def linked_components(asked: DataFrame, sets: DataFrame, settings: Settings) ->
     return rows.repartition(*GROUP).sortWithinPartitions(*GROUP).mapInArrow(run, "a binary, b binary")
 
 
+def shared_bands(sets: DataFrame, settings: Settings) -> DataFrame:
+    """key, digest, n for the bands of ``sets`` that more than one node has, and a few others.
+
+    Only keys are shuffled to be counted; a bitmap of those that are shared, of a bounded size, then sorts out the others in the tasks.
+    """
+    keys = sets.select(F.explode("bands").alias("key")).groupBy("key").agg(F.count("*").alias("c")).filter("c > 1")
+    keys = staged_table(keys.select("key"), "minhash-keys")
+    bits = bitmap_size(keys.count(), 64, settings.most_bits)
+    sieve = sets.sparkSession.sparkContext.broadcast(bitmap(keys, "key", bits))
+
+    def transform(batch: pa.RecordBatch) -> dict | None:
+        bands = batch.column("bands")
+        key = bands.flatten().to_numpy()
+        owner = np.repeat(np.arange(batch.num_rows), np.diff(bands.offsets.to_numpy()))
+        good = in_bitmap(sieve.value, key.view(np.uint64))
+        at = pa.array(owner[good])
+        return {"key": key[good], "digest": batch.column("digest").take(at), "n": batch.column("n").take(at)}
+
+    return map_batches(sets.select("digest", F.col("n_shingles").alias("n"), "bands"), transform, "key long, digest binary, n long")
+
+
 def components(members: DataFrame, leaders: DataFrame, sets: DataFrame, nodes: DataFrame, settings: Settings) -> DataFrame:
     """Component of every node with a link: node, component.
 
@@ -392,7 +415,7 @@ def marked_rows(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     sets = marked.filter("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("first_id"), node)
     sets = staged_table(sets.select("digest", "first_id", "r.*"), "minhash-sets")
 
-    rows = sets.select(F.explode("bands").alias("key"), "digest", F.col("n_shingles").alias("n"))
+    rows = staged_table(shared_bands(sets, settings), "minhash-shared")
     leaders = rows.groupBy("key").agg(F.count("*").alias("c"), F.min(F.struct("digest", "n")).alias("l")).filter("c > 1")
     leaders = staged_table(leaders.select("key", F.col("l.digest").alias("a"), F.col("l.n").alias("m")), "minhash-leaders")
     members = staged_table(rows.join(leaders.select("key"), "key"), "minhash-bands")
