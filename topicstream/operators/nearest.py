@@ -199,31 +199,55 @@ def nearest_neighbor_center(
     )
 
 
-def center_pairs(model: DataFrame, threshold: float = 25.0, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(id_i, id_j, dist) for centers i < j closer than ``threshold``; only hits leave the tasks."""
-    spark = model.sparkSession
-    parts = []
-    for ids, centers, _ in center_blocks(model, block_bytes):
-        shared = spark.sparkContext.broadcast((ids, centers))
-
-        def close(batches, shared=shared):
-            block_ids, block = shared.value
-            for batch in batches:
-                own = batch.column("cluster_id").to_numpy(zero_copy_only=False)
-                x = to_matrix(batch.column("center"), block.shape[1])
-                for part in row_chunks(len(x), len(block)):
-                    later = own[part][:, None] < block_ids[None, :]
-                    r, c = np.nonzero(later & closer_than(x[part], block, threshold))
-                    d = ((x[part][r] - block[c]) ** 2).sum(axis=1)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(own[part][r]), pa.array(block_ids[c]), pa.array(d)], names=["id_i", "id_j", "dist"]
-                    )
-
-        rows = model.select("cluster_id", "center")
-        parts.append(rows.mapInArrow(close, "id_i long, id_j long, dist double"))
-    if not parts:
-        return spark.createDataFrame([], "id_i long, id_j long, dist double")
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+PAIR_BYTES = 4 * 1024 * 1024
+
+
+def norm_bands(model: DataFrame, reach: float, block_bytes: int = PAIR_BYTES) -> DataFrame:
+    """(a, b, later, cluster_id, center): every center once per pair of norm bands that may hold a pair within ``reach``.
+
+    Two centers are at least as far apart as their norms. The norms are cut into bands of about ``block_bytes`` of centers; a band meets itself and
+    the following ones up to ``reach``. The driver knows the limits of the bands, one number each, and no center.
+    """
+    norm = F.sqrt(F.aggregate("center", F.lit(0.0), lambda s, x: s + x * x))
+    rows = model.select("cluster_id", "center", norm.alias("norm"))
+    facts = rows.agg(F.count("*").alias("k"), F.max(F.size("center")).alias("dims")).head()
+    bands = min(10_000, -(-facts["k"] * 8 * (facts["dims"] or 1) // block_bytes))
+    limits = []
+    if bands > 1:
+        steps = [n / bands for n in range(1, bands)]
+        limits = sorted(set(rows.agg(F.percentile_approx("norm", steps, 10 * bands)).head()[0]))
+    low, high = [float("-inf"), *limits], [*limits, float("inf")]
+    # the slack is above the rounding of the norms
+    last = [max(b for b in range(a, len(low)) if b == a or low[b] - high[a] < reach + 1e-9 * (1 + abs(high[a]))) for a in range(len(low))]
+    first = [min(a for a in range(b + 1) if last[a] >= b) for b in range(len(low))]
+    band = F.size(F.filter(F.array(*[F.lit(x) for x in limits]), lambda x: x < F.col("norm"))) if limits else F.lit(0)
+    placed = rows.withColumn("band", band.cast("int"))
+    at = lambda values: F.element_at(F.array(*[F.lit(v) for v in values]), F.col("band") + 1)
+    as_first = F.transform(F.sequence(F.col("band"), at(last)), lambda b: F.struct(F.col("band").alias("a"), b.alias("b"), F.lit(False).alias("later")))
+    as_later = F.transform(F.sequence(at(first), F.col("band")), lambda a: F.struct(a.alias("a"), F.col("band").alias("b"), F.lit(True).alias("later")))
+    return placed.select(F.explode(F.concat(as_first, as_later)).alias("met"), "cluster_id", "center").select("met.*", "cluster_id", "center")
+
+
+def center_pairs(model: DataFrame, threshold: float = 25.0, block_bytes: int = PAIR_BYTES) -> DataFrame:
+    """(id_i, id_j, dist) for centers i < j closer than ``threshold``: a band join on the norms; only hits leave the tasks."""
+
+    def close(table: pa.Table) -> pa.Table:
+        later = table.column("later").to_numpy()
+        first, second = table.filter(pa.array(~later)), table.filter(pa.array(later))
+        found = [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)]
+        if first.num_rows and second.num_rows:
+            dims, same = len(first.column("center")[0]), table.column("a")[0] == table.column("b")[0]
+            x, y = to_matrix(first.column("center"), dims), to_matrix(second.column("center"), dims)
+            own, other = first.column("cluster_id").to_numpy(), second.column("cluster_id").to_numpy()
+            parts = []
+            for part in row_chunks(len(x), len(y)):
+                near = closer_than(x[part], y, threshold)
+                r, c = np.nonzero(near & (own[part][:, None] < other[None, :]) if same else near)
+                d = ((x[part][r] - y[c]) ** 2).sum(axis=1)
+                i, j = own[part][r], other[c]
+                parts.append((np.minimum(i, j), np.maximum(i, j), d))
+            found = [np.concatenate(p) for p in zip(*parts)]
+        return pa.table(dict(zip(("id_i", "id_j", "dist"), found)))
+
+    met = norm_bands(model, float(np.sqrt(threshold)) if threshold > 0 else 0.0, block_bytes)
+    return met.groupBy("a", "b").applyInArrow(close, "id_i long, id_j long, dist double")
