@@ -10,6 +10,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -209,16 +210,49 @@ def test_pieces_come_back_and_are_the_library_s_without_dropout(texts):
             assert ids.tolist() == library.encode(text)
 
 
-def test_matrix_and_heap_agree_and_draws_vary():
+def test_matrix_and_heap_agree_on_any_skipped_turns():
     words = [f"▁{w}" for w in "understanding internationally thththedwh ererandtion Straße".split()]
     ways = set()
-    for draw in range(8):
+    for skips in [(), (0,), (1, 2), (0, 3, 4), (5,), tuple(range(40))]:
         for w in words:
             row = np.array([[dropping.id_of[c] for c in w]])
-            ids = dropping.by_matrix(row, dropping.word_key(w, draw))[1].tolist()
-            assert ids == dropping.by_heap(w, draw)
-            ways.add(tuple(ids))
-    assert len(ways) > 2 * len(words)
+            count, ids, turns = dropping.by_matrix(row, [skips])
+            assert (ids.tolist(), turns[0]) == dropping.by_heap(w, iter(skips)) and count[0] == len(ids)
+            ways.add(tuple(ids.tolist()))
+    assert len(ways) > 3 * len(words)
+
+
+def one_by_one(coder, text):
+    """Every word of a text through the heap with its own draws; nothing is remembered."""
+    out, place = [], 0
+    base = np.uint64(xxhash.xxh3_64_intdigest(text.encode(), seed=coder.settings.seed))
+    for place, word in enumerate(coder.units(text)):
+        with np.errstate(over="ignore"):
+            key = int(pieces.mix64(np.array([base + np.uint64(place)], np.uint64))[0])
+        out += coder.by_heap(word, coder.skip_turns(key))[0]
+    return out
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(TEXTS, max_size=3))
+def test_remembered_results_are_those_of_each_occurrence(texts):
+    texts = texts + ["the understanding of the thing " * 7, "a" * 60 + " the"]
+    for ids, text in zip(dropping.encode(texts), texts, strict=True):
+        assert ids.tolist() == one_by_one(dropping, text)
+
+
+def test_every_occurrence_is_skipped_at_the_rate():
+    """A word of one merge is split in a tenth of its places, and a word of more merges takes many forms."""
+    word = next(p for p, i in plain.id_of.items() if len(p) == 2 and p[0] == "▁" and p[1].islower())
+    assert plain.by_heap(word, iter(()))[1] == 1
+    coder = pieces.Encoder(PIECES)
+    text = " ".join([word[1:]] * 40_000)
+    (ids,) = coder.encode([text])
+    split = len(ids) - 40_000
+    assert abs(split / 40_000 - 0.1) < 0.008
+    (ids,) = coder.encode(["understanding " * 5000])
+    assert len({tuple(skips) for w, skips in coder.made_of if w == "▁understanding"}) > 100
+    assert coder.encode([text])[0].tolist() == pieces.Encoder(PIECES).encode(["x", text])[1].tolist()
 
 
 def test_all_or_no_merges_and_seeds():

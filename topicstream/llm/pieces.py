@@ -2,13 +2,15 @@
 
 A word (blanks before it included) starts as its characters. The agenda holds every pair of neighbours whose
 joined piece is in the vocabulary, best piece first, the leftmost of equal ones first. A pair taken from it is skipped with probability
-``dropout`` by a keyed hash of the seed, the word, the draw and the pair; otherwise it is merged and its new neighbours enter the agenda. A
+``dropout``; otherwise it is merged and its new neighbours enter the agenda. A
 skipped pair comes back only when one of its sides has changed. Characters without a piece become their bytes. With dropout
 0 the ids are those of the sentencepiece library.
 
-Which of ``draws`` draws a word takes is a hash of the seed, the text and its place, so a frequent word is segmented in several ways
-and each way is computed once and remembered up to a bound. Equal texts get equal ids, on every run and machine. Many words go through the agenda at
-once, as rows of a matrix; words that are very long or hold bytes go one by one, with a heap.
+Which turns of the agenda are skipped is a keyed hash of the seed, the text, the place of the word in it and the number of the skip: the hash
+gives the number of turns until the next skip, which is the same as a draw at every turn. So every occurrence of a word is drawn
+for itself. What a word becomes depends on the skipped turns only, so results are remembered, up to a bound, by word and skipped turns; most
+occurrences skip none or one. Equal texts get equal ids, on every run and machine. Many new results go through the agenda at
+once, as rows of a matrix; words that hold bytes go one by one, with a heap, and so does every occurrence of a very long word.
 
 Decoding joins the pieces and drops the blank that encoding put in front, so every text comes back as it was; a literal "▁" is kept by
 writing it as bytes. The vocabulary must have no piece with a blank after another character, nor one with a line break; loading checks it.
@@ -44,22 +46,18 @@ NEVER = np.int32(2**31 - 1)
 class Settings:
     dropout: float = 0.1
     seed: int = 17
-    draws: int = 4
-    cached_words: int = 300_000  # over all draws; those met again stay when it is full
-    longest: int = 24  # characters of a word that goes through the matrix
+    cached_words: int = 400_000  # with their skipped turns; those met again stay when it is full
+    longest: int = 24  # characters of a word whose results are remembered
 
 
-class Draw(dict):
-    """Numbers of known words of one draw; new ones are numbered in turn and noted."""
+class Words(dict):
+    """Numbers of known words without a skip; new ones are numbered in turn and noted."""
 
-    def __init__(self, number: int, owner: Encoder):
-        self.number, self.owner = number, owner
+    def __init__(self, owner: Encoder):
+        self.owner = owner
 
     def __missing__(self, word: str) -> int:
-        owner = self.owner
-        at = self[word] = owner.known + len(owner.new)
-        owner.new.append(word)
-        owner.new_draws.append(self.number)
+        at = self[word] = self.owner.note(word, ())
         return at
 
 
@@ -98,57 +96,60 @@ class Encoder:
         self.pair_keys = np.array(sorted(pairs), np.int64)
         self.pair_rank = np.array([pairs[k][0] for k in self.pair_keys.tolist()], np.int32)
         self.pair_id = np.array([pairs[k][1] for k in self.pair_keys.tolist()], np.int32)
-        self.limit = int(settings.dropout * 2.0**64) if settings.dropout < 1 else 2**64 - 1
         self.reset()
 
     def reset(self) -> None:
-        self.draws = [Draw(d, self) for d in range(self.settings.draws)]
-        self.known, self.new, self.new_draws = 0, [], []
-        self.starts, self.sizes, self.hits = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.words, self.after_skip = Words(self), {}
+        self.known, self.new = 0, []
+        self.starts, self.sizes, self.hits, self.turns = (np.zeros(0, np.int64) for _ in range(4))
         self.flat = np.zeros(0, np.int32)
+        self.made_of: list[tuple[str, tuple[int, ...]]] = []
+
+    def note(self, word: str, skips: tuple[int, ...]) -> int:
+        self.new.append((word, skips))
+        return self.known + len(self.new) - 1
 
     def forget(self) -> None:
-        """Keep the words met at least twice, if they are few enough."""
+        """Keep the results met at least twice, if they are few enough."""
         keep = self.hits > 1
         if keep.sum() > self.settings.cached_words // 2:
             self.reset()
             return
         number = np.cumsum(keep) - 1
-        for draw in self.draws:
-            kept = [(w, n) for w, n in draw.items() if keep[n]]
-            draw.clear()
-            draw.update((w, int(number[n])) for w, n in kept)
+        kept = [(w, n) for w, n in self.words.items() if keep[n]]
+        self.words.clear()
+        self.words.update((w, int(number[n])) for w, n in kept)
+        self.after_skip = {
+            (int(number[c >> 32]) << 32) | (c & 0xFFFFFFFF): int(number[n]) for c, n in self.after_skip.items() if keep[n] and keep[c >> 32]
+        }
+        self.made_of = [m for m, k in zip(self.made_of, keep, strict=True) if k]
         starts, sizes = self.starts[keep], self.sizes[keep]
         ends = np.cumsum(sizes)
         self.flat = self.flat[np.repeat(starts - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        self.turns = self.turns[keep]
         self.starts, self.sizes, self.hits, self.known = ends - sizes, sizes, np.zeros(len(sizes), np.int64), len(sizes)
 
-    def word_keys(self, codes: np.ndarray, draws: np.ndarray) -> np.ndarray:
-        """Keys of words of one length, given as rows of code points."""
-        key = mix64(draws.astype(np.uint64) + np.uint64(self.settings.seed) * np.uint64(1009) + np.uint64(1))
-        for column in codes.T:
-            key = mix64(key + column.astype(np.uint64))
-        return key
-
-    def word_key(self, word: str, draw: int) -> np.ndarray:
-        if len(word) > self.settings.longest:
-            return np.array([xxhash.xxh3_64_intdigest(word.encode(), seed=self.settings.seed * 1009 + draw)], np.uint64)
-        return self.word_keys(np.array([[ord(c) for c in word]]), np.array([draw]))
-
-    def skipped(self, key: np.ndarray, start: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Is the pair of pieces ``a`` and ``b``, the first one at character ``start``, left out?"""
-        if not self.limit:
-            return np.zeros(len(key), bool)
-        pair = (start.astype(np.uint64) << np.uint64(40)) ^ (a.astype(np.uint64) << np.uint64(20)) ^ b.astype(np.uint64)
-        return mix64(key ^ mix64(pair + np.uint64(1))) < np.uint64(self.limit)
-
-    def by_heap(self, word: str, draw: int) -> list[int]:
-        """One word through a heap."""
+    def gaps(self, key: np.ndarray, number: int) -> np.ndarray:
+        """Turns before the next skip, the ``number``-th one, of the occurrences with these keys."""
+        if self.settings.dropout >= 1:
+            return np.zeros(len(key), np.int64)
+        u = ((mix64(key + np.uint64((number + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)) >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0**53
+        return np.minimum(np.log(u) / np.log1p(-self.settings.dropout), 1e9).astype(np.int64)
+
+    def skip_turns(self, key: int) -> Iterator[int]:
+        """The skipped turns of one occurrence, one after another."""
+        turn = -1
+        for number in itertools.count():
+            turn += 1 + int(self.gaps(np.array([key], np.uint64), number)[0])
+            yield turn
+
+    def by_heap(self, word: str, skips: Iterator[int]) -> tuple[list[int], int]:
+        """One word through a heap: its pieces and the number of turns."""
         if word == LITERAL:
-            return [self.byte_id[b] for b in BLANK.encode()]
+            return [self.byte_id[b] for b in BLANK.encode()], 0
         ids: list[int | None] = [self.id_of.get(c) for c in word]
         after, before = list(range(1, len(word) + 1)), list(range(-1, len(word) - 1))
-        key, agenda = self.word_key(word, draw), []
+        agenda, turn, next_skip = [], 0, next(skips, -1)
         alive = [True] * len(word)
 
         def offer(left: int) -> None:
@@ -164,7 +165,9 @@ class Encoder:
             _, left, right, a, b, joined = heapq.heappop(agenda)
             if not alive[left] or not alive[right] or ids[left] != a or ids[right] != b or after[left] != right:
                 continue
-            if self.skipped(key, np.array([left]), np.array([a]), np.array([b]))[0]:
+            turn += 1
+            if turn - 1 == next_skip:
+                next_skip = next(skips, -1)
                 continue
             ids[left], alive[right] = joined, False
             after[left] = after[right]
@@ -177,7 +180,7 @@ class Encoder:
         for i, c in enumerate(word):
             if alive[i]:
                 out += [ids[i]] if ids[i] is not None else [self.byte_id[b] for b in c.encode()]
-        return out
+        return out, turn
 
     def look_up(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank (NEVER without a joined piece) and joined piece of pairs; ids below 0 are the end of a word."""
@@ -186,15 +189,18 @@ class Encoder:
         good = (self.pair_keys[at] == key) & (b >= 0) & (a >= 0)
         return np.where(good, self.pair_rank[at], NEVER), self.pair_id[at]
 
-    def by_matrix(self, pieces: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Words of the same length as rows of single-character pieces: one agenda step of every word at a time.
+    def by_matrix(self, pieces: np.ndarray, skips: list[tuple[int, ...]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Words of the same length as rows of single-character pieces: one turn of every word's agenda at a time.
 
-        Returns the numbers of pieces and all pieces one after another.
+        Returns the numbers of pieces, all pieces one after another, and the numbers of turns.
         """
         n, length = pieces.shape
         ids = np.full((n, length + 2), -1, np.int32)
         ids[:, :length] = pieces
-        start = np.tile(np.arange(length + 2, dtype=np.int32), (n, 1))
+        planned = np.full((n, max(map(len, skips)) + 1), -1, np.int64)
+        for i, turns_of in enumerate(skips):
+            planned[i, : len(turns_of)] = turns_of
+        turns, done = np.zeros(n, np.int64), np.zeros(n, np.int64)
         rank, joined = self.look_up(ids[:, :-1].ravel(), ids[:, 1:].ravel())
         rank, joined = rank.reshape(n, -1), joined.reshape(n, -1)
         columns, rows = np.arange(length + 2), np.arange(n)
@@ -202,14 +208,15 @@ class Encoder:
             place = rank[rows].argmin(axis=1)
             more = rank[rows, place] != NEVER
             rows, place = rows[more], place[more]
-            skip = self.skipped(key[rows], start[rows, place], ids[rows, place], ids[rows, place + 1])
+            skip = planned[rows, done[rows]] == turns[rows]
+            done[rows] += skip
+            turns[rows] += 1
             rank[rows[skip], place[skip]] = NEVER
             r, p = rows[~skip], place[~skip]
             if len(r):
                 ids[r, p] = joined[r, p]
                 moved = np.minimum(columns + (columns > p[:, None]), length + 1)
-                for matrix in (ids, start):
-                    matrix[r] = matrix[r[:, None], moved]
+                ids[r] = ids[r[:, None], moved]
                 moved = np.minimum(moved[:, :-1], length)
                 for matrix in (rank, joined):
                     matrix[r] = matrix[r[:, None], moved]
@@ -220,34 +227,63 @@ class Encoder:
                     rank[x, y], joined[x, y] = self.look_up(ids[x, y], ids[x, y + 1])
                 rank[r, -1] = NEVER
         left = ids >= 0
-        return left.sum(axis=1), ids[left]
+        return left.sum(axis=1), ids[left], turns
 
     def settle(self) -> None:
-        """Encode the new words."""
-        words, draws = self.new, np.array(self.new_draws)
+        """Encode the new words, each with its skipped turns."""
+        if not self.new:
+            return
+        words, skips = [w for w, _ in self.new], [k for _, k in self.new]
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         codes = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
         first = np.cumsum(lengths) - lengths
         pieces = np.where(codes < 0x10000, self.id_of_code[np.minimum(codes, 0xFFFF)], -1)
-        fits = (lengths > 1) & (lengths <= self.settings.longest) & (np.minimum.reduceat(pieces, first) >= 0)
-        starts, sizes, parts, end = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64), [self.flat], len(self.flat)
+        fits = (lengths > 1) & (np.minimum.reduceat(pieces, first) >= 0)
+        starts, sizes, turns = (np.zeros(len(words), np.int64) for _ in range(3))
+        parts, end = [self.flat], len(self.flat)
         for length in np.unique(lengths[fits]):
             every = np.flatnonzero(fits & (lengths == length))
             for at in range(0, len(every), 10_000):
                 members = every[at : at + 10_000]
-                cells = first[members][:, None] + np.arange(length)
-                count, flat = self.by_matrix(pieces[cells], self.word_keys(codes[cells], draws[members]))
+                count, flat, turns[members] = self.by_matrix(pieces[first[members][:, None] + np.arange(length)], [skips[i] for i in members])
                 sizes[members], starts[members] = count, end + np.cumsum(count) - count
                 parts.append(flat)
                 end += len(flat)
         for i in np.flatnonzero(~fits):
-            flat = np.array(self.by_heap(words[i], int(draws[i])), np.int32)
+            flat, turns[i] = self.by_heap(words[i], iter(skips[i]))
             sizes[i], starts[i] = len(flat), end
-            parts.append(flat)
+            parts.append(np.array(flat, np.int32))
             end += len(flat)
+        self.append(starts, sizes, turns, parts)
+
+    def append(self, starts: np.ndarray, sizes: np.ndarray, turns: np.ndarray, parts: list[np.ndarray]) -> None:
         self.starts, self.sizes, self.flat = np.concatenate([self.starts, starts]), np.concatenate([self.sizes, sizes]), np.concatenate(parts)
-        self.hits = np.concatenate([self.hits, np.zeros(len(words), np.int64)])
-        self.known, self.new, self.new_draws = self.known + len(words), [], []
+        self.turns = np.concatenate([self.turns, turns])
+        self.hits = np.concatenate([self.hits, np.zeros(len(starts), np.int64)])
+        self.made_of += self.new
+        self.known, self.new = self.known + len(starts), []
+
+    def with_skips(self, at: np.ndarray, key: np.ndarray) -> np.ndarray:
+        """The results of occurrences, from the numbers of their words without a skip and the keys of their places."""
+        if not self.settings.dropout:
+            return at
+        alive, turn = np.arange(len(at)), np.full(len(at), -1, np.int64)
+        for number in itertools.count():
+            turn = turn + 1 + self.gaps(key[alive], number)
+            inside = turn < self.turns[at[alive]]
+            alive, turn = alive[inside], turn[inside]
+            if not len(alive):
+                return at
+            codes, which = np.unique((at[alive] << 32) | turn, return_inverse=True)
+            found = np.empty(len(codes), np.int64)
+            for i, code in enumerate(codes.tolist()):
+                node = self.after_skip.get(code)
+                if node is None:
+                    word, skips = self.made_of[code >> 32]
+                    node = self.after_skip[code] = self.note(word, (*skips, code & 0xFFFFFFFF))
+                found[i] = node
+            self.settle()
+            at[alive] = found[which]
 
     def units(self, text: str) -> list[str]:
         """Words of a text with their blanks; a literal blank mark is a word of its own, ``LITERAL``."""
@@ -266,13 +302,21 @@ class Encoder:
         split = [self.units(t) for t in texts]
         lengths = np.fromiter(map(len, split), np.int64, len(split))
         total = int(lengths.sum())
+        words = list(itertools.chain.from_iterable(split))
         keys = np.array([xxhash.xxh3_64_intdigest(t.encode(), seed=self.settings.seed) for t in texts], np.uint64)
         place = np.arange(total) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-        draw = mix64(np.repeat(keys, lengths) + place.astype(np.uint64)) % np.uint64(self.settings.draws)
-        words = itertools.chain.from_iterable(split)
-        at = np.fromiter(map(dict.__getitem__, map(self.draws.__getitem__, draw.tolist()), words), np.int64, total)
-        if self.new:
-            self.settle()
+        key = mix64(np.repeat(keys, lengths) + place.astype(np.uint64))
+        long = {i: words[i] for i in np.flatnonzero(np.fromiter(map(len, words), np.int64, total) > self.settings.longest).tolist()}
+        for i in long:
+            words[i] = BLANK
+        at = np.fromiter(map(self.words.__getitem__, words), np.int64, total)
+        self.settle()
+        at = self.with_skips(at, key)
+        for i, word in long.items():  # every occurrence on its own
+            flat, _ = self.by_heap(word, self.skip_turns(int(key[i])) if self.settings.dropout else iter(()))
+            at[i] = self.note(word, ())
+            one = np.array([len(self.flat)]), np.array([len(flat)]), np.zeros(1, np.int64)
+            self.append(*one, [self.flat, np.array(flat, np.int32)])
         self.hits += np.bincount(at, minlength=self.known)
         sizes = self.sizes[at]
         ends = np.cumsum(sizes)
