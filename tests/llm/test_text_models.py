@@ -43,6 +43,26 @@ def test_language_of_held_out_texts_and_of_odd_ones(docs_of):
     assert by_id[None].lang_pred == "de"
 
 
+def test_numerals_are_no_letters_and_odd_ids_are_drawn(docs_of):
+    rows = [(None, t, lang) for _, t, lang in sentences(400)] + [(8, t, lang) for _, t, lang in sentences(400, 2)]
+    rows += [(1, "½ ² ①② ⅣⅤ 12", "en"), (2, "ª der", None)]
+    docs = docs_of(rows)
+    small = langid.Settings(epochs=30, windows_per_language=100)
+    net = langid.fit(docs, F.lit(True), small)
+    got = langid.predict(docs, net, ["doc_id"], small).collect()
+    assert {r.lang_pred for r in got if r.doc_id == 1} == {"und"} and {r.lang_pred for r in got if r.doc_id == 2} != {"und"}
+    assert np.mean([r.lang_pred == row[2] for r, row in zip(got, rows[:800])]) > 0.97
+    taken = []
+    langid_train = langid.train
+    try:
+        langid.train = lambda windows, languages, settings: taken.append(languages) or langid_train(windows, languages, settings)
+        langid.fit(docs_of([(8, "the of and", "en")] * 3000), F.lit(True), small)
+        langid.fit(docs_of([(None, "the of and", "en")] * 3000), F.lit(True), small)
+    finally:
+        langid.train = langid_train
+    assert all(50 < len(t) < 160 for t in taken)
+
+
 def test_every_window_of_a_long_text_counts(docs_of):
     rows = sentences(100)
     long_text = " ".join(["the of and"] * 20) + " " + " ".join(["der die und"] * 400)

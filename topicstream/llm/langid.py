@@ -5,24 +5,26 @@ bytes, ReLU, the maximum over the window, and a softmax over the languages. It i
 sample of labelled windows (``windows_per_language``), and applied to every window of every text; a text's log
 probabilities are the means over its windows, weighted by the bytes in them.
 
-Defined results: null text or a text without a letter is ``und`` with score 0; with no labelled text at all everything is ``und``. Repeated
+Texts of any length are cut into windows whole. Of equal probabilities the first language in alphabetical order wins.
+
+Defined results: null text or a text without a letter (Unicode category L) is ``und`` with score 0; with no labelled text at all everything is ``und``. Repeated
 rows are scored one by one. Any other column is ignored.
 """
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from topicstream.llm.common import map_batches
 
 UNDETERMINED = "und"
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")  # numerals such as those for fractions or in circles are none
 
 
 @dataclass(frozen=True)
@@ -31,7 +33,7 @@ class Settings:
     embedding: int = 8
     filters: tuple[tuple[int, int], ...] = ((2, 8), (3, 16), (4, 16))  # (width, number)
     windows_per_language: int = 2000  # bound of the training sample
-    max_languages: int = 200
+    most_windows: int = 400_000  # bound over all languages, which share it
     epochs: int = 12
     batch: int = 64
     rate: float = 0.01
@@ -151,17 +153,18 @@ def backward(net: Network, windows: np.ndarray, y: np.ndarray, weight: np.ndarra
 def fit(docs: DataFrame, trainable: Column, settings: Settings = Settings()) -> Network | None:
     """Train on rows of ``docs`` (doc_id, text, lang) where ``trainable`` holds and ``lang`` is not null.
 
-    Per language at most about ``windows_per_language`` rows are drawn by a hash of the id, one window at a hashed place of each.
+    Per language at most about ``windows_per_language`` rows are drawn by a hash of id, text and row number, so rows without an id and rows that
+    repeat one are drawn like all others; one window is taken at a hashed place of each.
     """
-    rows = docs.filter(trainable & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.trim("text") != ""))
+    row = F.xxhash64(F.lit(settings.seed), "doc_id", "text", F.monotonically_increasing_id())
+    rows = docs.withColumn("_row", row).filter(trainable & F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.trim("text") != ""))
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return None
-    if len(counts) > settings.max_languages:
-        raise ValueError(f"{len(counts)} languages; at most {settings.max_languages} are supported")
-    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, settings.windows_per_language / n))])
-    draw = F.pmod(F.xxhash64(F.lit(settings.seed), "doc_id"), F.lit(1_000_000)) / 1e6
-    place = F.pmod(F.xxhash64(F.lit(settings.seed + 1), "doc_id"), F.greatest(F.length("text") - settings.window, F.lit(1)))
+    each = min(settings.windows_per_language, max(1, settings.most_windows // len(counts)))
+    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, each / n))])
+    draw = F.pmod("_row", F.lit(1_000_000)) / 1e6
+    place = F.pmod(F.xxhash64(F.lit(settings.seed + 1), "_row"), F.greatest(F.length("text") - settings.window, F.lit(1)))
     sample = rows.filter(draw < share[F.col("lang")]).select(
         "lang", "doc_id", F.substring(F.col("text"), (place + 1).cast("int"), F.lit(settings.window)).alias("part")
     )
