@@ -46,7 +46,7 @@ NEVER = np.int32(2**31 - 1)
 class Settings:
     dropout: float = 0.1
     seed: int = 17
-    cached_words: int = 400_000  # with their skipped turns; those met again stay when it is full
+    cached_words: int = 1_000_000  # with their skipped turns; those met again stay when it is full
     longest: int = 24  # characters of a word whose results are remembered
 
 
@@ -312,11 +312,13 @@ class Encoder:
         at = np.fromiter(map(self.words.__getitem__, words), np.int64, total)
         self.settle()
         at = self.with_skips(at, key)
+        flats = []
         for i, word in long.items():  # every occurrence on its own
-            flat, _ = self.by_heap(word, self.skip_turns(int(key[i])) if self.settings.dropout else iter(()))
+            flats.append(np.array(self.by_heap(word, self.skip_turns(int(key[i])) if self.settings.dropout else iter(()))[0], np.int32))
             at[i] = self.note(word, ())
-            one = np.array([len(self.flat)]), np.array([len(flat)]), np.zeros(1, np.int64)
-            self.append(*one, [self.flat, np.array(flat, np.int32)])
+        if flats:
+            sizes = np.array([len(f) for f in flats])
+            self.append(len(self.flat) + np.cumsum(sizes) - sizes, sizes, np.zeros(len(flats), np.int64), [self.flat, *flats])
         self.hits += np.bincount(at, minlength=self.known)
         sizes = self.sizes[at]
         ends = np.cumsum(sizes)
@@ -337,7 +339,7 @@ def encoder(path: str, settings: Settings) -> Encoder:
     return Encoder(path, settings)
 
 
-def runs(texts: list[str], most: int = 2_000_000) -> Iterator[tuple[int, list[str]]]:
+def runs(texts: list[str], most: int = 8_000_000) -> Iterator[tuple[int, list[str]]]:
     """Slices of a bounded number of characters, with their first row."""
     at = 0
     while at < len(texts):
@@ -349,11 +351,24 @@ def runs(texts: list[str], most: int = 2_000_000) -> Iterator[tuple[int, list[st
         at = upto
 
 
+def gathered(batches: Iterator[pa.RecordBatch], most: int = 8_000_000) -> Iterator[pa.RecordBatch]:
+    """Batches put together up to a bounded number of bytes, so that more new words go through the agenda at once."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= most:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, size = [], 0
+    if size:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def encode(docs: DataFrame, path: str, settings: Settings = Settings()) -> DataFrame:
     """``docs`` (doc_id, text) to doc_id and ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in gathered(batches):
             texts = [x or "" for x in batch.column("text").to_pylist()]
             for at, part in runs(texts):
                 ids = pa.array(encoder(path, settings).encode(part), pa.list_(pa.int32()))
@@ -380,12 +395,14 @@ def round_trip(docs: DataFrame, path: str, settings: Settings = Settings()) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(path, settings)
-        for batch in batches:
+        for batch in gathered(batches):
             rows = []
             for _, part in runs([x or "" for x in batch.column("text").to_pylist()]):
                 for text, ids in zip(part, coder.encode(part), strict=True):
                     back = coder.decode(ids)
                     rows.append((len(ids), zlib.crc32(ids.astype("<u4").tobytes()), zlib.crc32(back.encode()), back == text))
+            if not rows:
+                continue
             columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), [pa.int64()] * 3 + [pa.bool_()], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names)
 
