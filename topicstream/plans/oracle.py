@@ -225,6 +225,58 @@ def _silhouette(k: int) -> str:
   max(CASE WHEN label = own THEN n END) AS n FROM {name}_far GROUP BY id)"""
 
 
+def _online_batch(b: int) -> str:
+    """Batch ``b`` of the online job: add, train, merge, expire, assign. Reads m{b}, the model before it; ends in m{b + 1} and a{b}."""
+    known = " + ".join(["1", *[f"(SELECT count(*) FROM new{x})" for x in range(b)]])
+    return f"""far{b} AS MATERIALIZED (SELECT v, s, row_number() OVER (ORDER BY id) AS r FROM vectors p WHERE batch_id = {b} AND s > 0
+  AND NOT EXISTS (SELECT 1 FROM m{b} k WHERE list_distance(p.v, k.c) * list_distance(p.v, k.c) / p.s < 2.2)),
+pass{b} AS (SELECT 0::BIGINT AS r, []::DOUBLE[][] AS admitted
+  UNION ALL SELECT o.r, CASE WHEN len(list_filter(p.admitted, lambda a: list_distance(o.v, a) * list_distance(o.v, a) / o.s < 2.2)) = 0
+    THEN list_append(p.admitted, o.v) ELSE p.admitted END FROM pass{b} p JOIN far{b} o ON o.r = p.r + 1),
+taken{b} AS MATERIALIZED (SELECT admitted FROM pass{b} ORDER BY r DESC LIMIT 1),
+new{b} AS MATERIALIZED (SELECT c, n - pos + {known} AS cluster_id FROM
+  (SELECT unnest(admitted) AS c, generate_subscripts(admitted, 1) AS pos, len(admitted) AS n FROM taken{b})),
+g{b} AS MATERIALIZED (SELECT cluster_id, c, w FROM m{b} UNION ALL SELECT cluster_id, c, 0.0 FROM new{b}),
+hit{b} AS MATERIALIZED (SELECT cluster_id, v FROM (SELECT k.cluster_id, v, row_number() OVER (PARTITION BY id ORDER BY list_distance(v, k.c), k.cluster_id) AS place
+  FROM vectors, g{b} k WHERE batch_id = {b} AND s > 0) WHERE place = 1),
+sum{b} AS (SELECT cluster_id, i, sum(x) AS x, count(*) AS n FROM (SELECT cluster_id, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM hit{b}) GROUP BY cluster_id, i),
+t{b} AS MATERIALIZED (SELECT o.cluster_id, list(CASE WHEN n IS NULL THEN c ELSE (0.7 * w * c + x) / (0.7 * w + n) END ORDER BY o.i) AS c,
+  any_value(0.7 * w + coalesce(n, 0)) AS w FROM (SELECT cluster_id, w, unnest(c) AS c, generate_subscripts(c, 1) AS i FROM g{b}) o
+  LEFT JOIN sum{b} s ON s.cluster_id = o.cluster_id AND s.i = o.i GROUP BY o.cluster_id),
+pair{b} AS MATERIALIZED (SELECT i, j, wi, wj, row_number() OVER (ORDER BY i, j) AS r FROM (SELECT a.cluster_id AS i, b.cluster_id AS j, a.w AS wi, b.w AS wj,
+  list_distance(a.c, b.c) AS d FROM t{b} a JOIN t{b} b ON a.cluster_id < b.cluster_id) WHERE d * d < 25),
+merge{b} AS (SELECT 0::BIGINT AS r, []::BIGINT[] AS gone, []::STRUCT(k BIGINT, w DOUBLE)[] AS gains
+  UNION ALL SELECT p.r,
+    CASE WHEN list_contains(gone, i) OR list_contains(gone, j) THEN gone WHEN wi > wj THEN list_append(gone, j) ELSE list_append(gone, i) END,
+    CASE WHEN list_contains(gone, i) OR list_contains(gone, j) THEN gains
+      WHEN wi > wj THEN list_append(gains, {{'k': i, 'w': wj}}) ELSE list_append(gains, {{'k': j, 'w': wi}}) END
+  FROM merge{b} s JOIN pair{b} p ON p.r = s.r + 1),
+merged{b} AS MATERIALIZED (SELECT gone, gains FROM merge{b} ORDER BY r DESC LIMIT 1),
+gain{b} AS (SELECT g.k AS cluster_id, sum(g.w) AS w FROM (SELECT unnest(gains) AS g FROM merged{b}) GROUP BY 1),
+m{b + 1} AS MATERIALIZED (SELECT cluster_id, c, t.w + coalesce(q.w, 0) AS w FROM t{b} t LEFT JOIN gain{b} q USING (cluster_id), merged{b}
+  WHERE NOT list_contains(gone, cluster_id) AND t.w + coalesce(q.w, 0) >= 1),
+other{b} AS (SELECT cluster_id, other FROM (SELECT a.cluster_id, b.c AS other, row_number() OVER (PARTITION BY a.cluster_id
+  ORDER BY list_distance(a.c, b.c), b.cluster_id) AS place FROM m{b + 1} a JOIN m{b + 1} b ON a.c <> b.c) WHERE place = 1),
+a{b} AS (SELECT {b}::BIGINT AS batch_id, id, text, cluster_id, d * d / s AS own,
+  list_distance(v, coalesce(other, c)) * list_distance(v, coalesce(other, c)) / s AS other FROM (SELECT id, text, v, s, k.cluster_id, k.c, list_distance(v, k.c) AS d,
+    row_number() OVER (PARTITION BY id ORDER BY list_distance(v, k.c), k.cluster_id) AS place FROM vectors, m{b + 1} k WHERE batch_id = {b} AND s > 0)
+  LEFT JOIN other{b} USING (cluster_id) WHERE place = 1)"""
+
+
+_CUT = "row_number() OVER (ORDER BY doc_id) - 1) // (((SELECT count(*) FROM documents) + 2) // 3)"
+ONLINE = f"""{TOKENS.replace("SELECT doc_id AS id, text,", f"SELECT doc_id AS id, text, ({_CUT} AS batch_id,", 1)},
+sizes AS (SELECT batch_id, count(*) AS m FROM posts GROUP BY batch_id),
+tf AS (SELECT batch_id, id, bucket, count(*) AS n FROM tokens JOIN vocabulary USING (word) JOIN posts USING (id) GROUP BY ALL),
+idf AS (SELECT batch_id, bucket, ln((any_value(m) + 1) / (count(*) + 1)) AS idf FROM tf JOIN sizes USING (batch_id) GROUP BY batch_id, bucket),
+weights AS (SELECT id, bucket, n * idf AS w FROM tf JOIN idf USING (batch_id, bucket)),
+cells AS (SELECT p.batch_id, p.id, p.text, b.range AS b, coalesce(w.w, 0.0) AS x FROM posts p CROSS JOIN range(100) b
+  LEFT JOIN weights w ON w.id = p.id AND w.bucket = b.range),
+vectors AS MATERIALIZED (SELECT batch_id, id, any_value(text) AS text, list(x ORDER BY b) AS v, sum(x) AS s FROM cells GROUP BY batch_id, id),
+m0 AS (SELECT 0::BIGINT AS cluster_id, []::DOUBLE[] AS c, 0.0::DOUBLE AS w WHERE false),
+{", ".join(_online_batch(b) for b in range(3))},
+assigned AS ({" UNION ALL ".join(f"SELECT * FROM a{b}" for b in range(3))}),
+{_report('batch_id, cluster_id')}"""
+
 SWEEP = (5, 10, 20)
 # Two directions at once, kept orthogonal: products with the kernel, then Gram-Schmidt.
 LSA = f"""{KERNEL},
@@ -289,6 +341,8 @@ FROM f WHERE other = 0""",
     f"SELECT id, lang FROM (SELECT doc_id AS id, lang, {SPLIT} AS t FROM documents) d WHERE EXISTS (SELECT 1 FROM q WHERE len(w) > 0 AND list_has_all(t, w))",
     "nonempty_guard": f"WITH {VECTORS} SELECT 1::BIGINT AS batch_id, count(*) FILTER (s > 0) AS posts, "
     "count(*) FILTER (s <= 0) AS unclustered FROM vectors",
+    "empty_intervals": f"WITH {EMBEDDINGS} SELECT cluster_id, round(weight * 0.7 * 0.7, 6) AS weight FROM centers "
+    "WHERE weight * 0.7 >= 20 AND weight * 0.7 * 0.7 >= 20",
     "filter_collisions": f"WITH {TOKENS}, v AS (SELECT word, {_bucket(20000)} AS bucket FROM vocabulary) SELECT * FROM "
     "(SELECT bucket, word, count(*) OVER (PARTITION BY bucket) AS n_words FROM v) WHERE n_words > 1",
     "interesting_flag": f"WITH {TOTALS} SELECT cluster_id, count, interesting FROM report",
@@ -445,6 +499,7 @@ c AS (SELECT unnest(range(first, first + k))::BIGINT AS cluster_id, dims FROM f)
 u AS (SELECT *, (('0x' || substr(md5('7:' || cluster_id || ':' || (i + 1) || ':r'), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296 AS r,
   (('0x' || substr(md5('7:' || cluster_id || ':' || (i + 1) || ':a'), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296 AS a FROM d)
 SELECT cluster_id, 2.0::DOUBLE AS weight, i::INTEGER AS i, round(sqrt(-2 * ln(r)) * cos(2 * pi() * a), 6) AS x FROM u""",
+    "run_stream": f"WITH RECURSIVE {ONLINE} SELECT batch_id, cluster_id, count, silhouette, intra, inter, interesting, rep_id, best_url FROM report",
     "stable_id": f"WITH {EMBEDDINGS}, heavy AS (SELECT * FROM centers WHERE weight >= (SELECT avg(weight) FROM centers)), "
     f"{_nearest('heavy')} SELECT id, cluster_id FROM nearest",
     "assign_after_update": f"WITH {VECTORS} SELECT count(*) AS posts, 0::BIGINT AS differences FROM vectors WHERE s > 0",

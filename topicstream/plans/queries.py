@@ -28,6 +28,7 @@ from topicstream.streaming import collect, progress, run
 
 QUERIES = {}
 
+REPLAY_FILES = 4
 PHRASES = ("the and", "tion", "Heand", "in her", "over there")
 
 
@@ -302,6 +303,18 @@ def nonempty_guard(spark, sf):
     return out.read_batches(spark, root, "batch_summary").select("batch_id", "posts", "unclustered")
 
 
+@query
+def empty_intervals(spark, sf):
+    """Two batches without posts after a stored model: the clusters lose weight, and the light ones expire."""
+    root = run.new_run(spark)
+    run.write_model(inp.label_model(inp.embeddings(spark, sf)), run.ModelState(next_id=100), root, 0)
+    none = inp.posts(spark, sf).filter(F.col("source") < 0)
+    settings = run.StreamSettings(min_weight=20.0)
+    for batch in (1, 2):
+        run.step(none, batch, root, settings)
+    return run.read_model(spark, root, 2)[0].select("cluster_id", F.round("weight", 6).alias("weight"))
+
+
 @query
 def filter_collisions(spark, sf):
     merged = fe.filter_collisions(fe.merge_buckets(fe.bucket_words(fe.clean_tokens(inp.posts(spark, sf)), 20000)))
@@ -816,17 +829,18 @@ def assign_after_update(spark, sf):
 
 @query
 def run_stream(spark, sf):
-    """The whole online job over all documents in three micro-batches, from JSON line files."""
+    """The whole online job over all documents in three micro-batches, from JSON line files, as many per trigger as a batch has."""
     posts = inp.posts(spark, sf)
     size = -(-posts.count() // 3)
     sliced = src.slice_batches(posts, size, 3)
     source = new_run_dir(spark, "replay")
     lines = sliced.select("id", "text", F.lit(None).cast("string").alias("urls"), "batch_index").persist()
     for batch in range(3):  # files are taken in the order in which they were written
-        lines.filter(F.col("batch_index") == batch).drop("batch_index").coalesce(1).write.json(f"{source}/part={batch}")
+        part = lines.filter(F.col("batch_index") == batch).drop("batch_index")
+        part.repartition(REPLAY_FILES).write.json(f"{source}/part={batch}")
     lines.unpersist()
     root = run.new_run(spark)
-    progress.finish(run.run_stream(src.stream_posts(spark, f"{source}/*"), root))
+    progress.finish(run.run_stream(src.stream_posts(spark, f"{source}/*", REPLAY_FILES), root))
     rows = qu.rank_by_silhouette(out.read_batches(spark, root, "cluster_info"))
     return rows.select("batch_id", "cluster_id", "count", "silhouette", "intra", "inter", "interesting", "rep_id", "best_url")
 

@@ -5,6 +5,9 @@ from __future__ import annotations
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +25,7 @@ PLANNER_SETTINGS = {
 }
 
 _local_roots: dict[str, str] = {}
+_staging: ContextVar[str | None] = ContextVar("staging", default=None)
 
 
 def local_session(cores: str | int = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -61,12 +65,41 @@ def shared_root(spark: SparkSession) -> str:
 
 def new_run_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder for one run; nothing that exists is ever reused or deleted."""
-    return f"{shared_root(spark)}/topicstream/{label}-{uuid.uuid4().hex}"
+    return f"{_staging.get() or shared_root(spark) + '/topicstream'}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def staged_under(folder: str) -> Iterator[None]:
+    """All tables staged inside go below ``folder``, lineage cuts included, so that they can be expired together."""
+    token = _staging.set(folder)
+    try:
+        yield
+    finally:
+        _staging.reset(token)
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """A path and the file system it lies in, as Spark sees them."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def folders_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in ``path``; none if it does not exist."""
+    target, files = hadoop_path(spark, path)
+    return sorted(f.getPath().getName() for f in files.listStatus(target) if f.isDirectory()) if files.exists(target) else []
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    target, files = hadoop_path(spark, path)
+    files.delete(target, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: iterative jobs restart from storage when an executor is lost."""
     spark = df.sparkSession
+    if _staging.get():
+        return staged_table(df, "cut")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_root(spark))
     return df.checkpoint(eager=True)
