@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from topicstream.functions import text as tx
+from topicstream.functions.stemmer import english_stem, stem_table, stem_words
 from topicstream.functions.vectors import round2
 from topicstream.operators import features as fe
 
@@ -80,3 +81,32 @@ def test_round2(spark):
     values = [1.005, 0.125, -0.125, math.inf, math.nan, None]
     rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, x double")
     assert [r[0] for r in rows.orderBy("i").select(round2(F.col("x"))).collect()] == [1.01, 0.13, -0.13, 0.0, 0.0, 0.0]
+
+
+PUBLISHED = """consign consign consigned consign consigning consign consignment consign consist consist consisted consist consistency consist
+consistent consist consistently consist consisting consist consists consist consolation consol consolations consol consolatory consolatori console consol
+consoled consol consoles consol consolidate consolid consolidated consolid consolidating consolid consoling consol consonant conson consort consort
+knack knack knackeries knackeri knavish knavish knead knead kneading knead knee knee kneel kneel kneeling kneel knew knew knife knife knight knight
+knightly knight knights knight knit knit knitted knit knitting knit knives knive knob knob knock knock knocking knock knots knot"""
+
+
+def test_english_stems_of_the_published_sample():
+    words = PUBLISHED.split()
+    assert {w: english_stem(w) for w in words[::2]} == dict(zip(words[::2], words[1::2]))
+
+
+@pytest.mark.parametrize(
+    "word, stem",
+    [("ties", "tie"), ("cries", "cri"), ("gas", "gas"), ("this", "this"), ("gaps", "gap"), ("kiwis", "kiwi"), ("luxuriated", "luxuri"), ("hopping", "hop"),
+     ("hoped", "hope"), ("falling", "fall"), ("bed", "bed"), ("shed", "shed"), ("by", "by"), ("say", "say"), ("cry", "cri"), ("generically", "generic"),
+     ("generate", "generat"), ("communism", "communism"), ("proceeding", "proceed"), ("skies", "sky"), ("news", "news"), ("relational", "relat"),
+     ("analogi", "analog"), ("bowl's", "bowl"), ("youth", "youth"), ("boyish", "boyish"), ("", ""), ("ß", "ß"), ("nth", "nth")],
+)
+def test_english_rules(word, stem):
+    assert english_stem(word) == stem
+
+
+def test_stems_are_joined_back(spark):
+    rows = spark.createDataFrame([(1, "cats"), (2, "cats"), (3, "running"), (4, None)], "id long, word string")
+    got = {r["id"]: r["stem"] for r in stem_words(rows).collect()}
+    assert got == {1: "cat", 2: "cat", 3: "run", 4: None} and stem_table(rows).count() == 2

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from topicstream.functions import text as tx
+from topicstream.functions.stemmer import stem_words
 from topicstream.functions.vectors import round2, scaled_dist, sqdist, vector_sum
 from topicstream.operators import batch_clustering as bc
 from topicstream.operators import explore as ex
@@ -355,6 +356,14 @@ def stem_tokens(spark, sf):
     return docs(spark, sf).select("id", joined(words).alias("tokens"))
 
 
+@query
+def stem_english(spark, sf):
+    """Posts and occurrences per English stem and word; every distinct word is stemmed once."""
+    words = docs(spark, sf).select("id", F.explode(tx.tokenize(F.col("text"))).alias("word")).filter("word <> ''")
+    rows = stem_words(words.groupBy("word").agg(F.count("*").alias("n"), F.countDistinct("id").alias("posts")))
+    return rows.select("word", "stem", "n", "posts")
+
+
 @query
 def sanitize_tokens(spark, sf):
     words = tx.sanitize_tokens(tx.tokenize(F.col("text")))
