@@ -206,3 +206,76 @@ def test_filter_grows_with_its_entries_and_probes_end(docs_of):
     assert got.score == pytest.approx(want, rel=0.02)
     full = np.full(1 << 8, 255, np.uint8)
     assert list(bloom_lm.levels(np.arange(3, dtype=np.uint64), full, bloom_lm.Settings(segments=1), 7)) == [7] * 3
+
+
+def plain_language(net, text, settings):
+    """One text through the network, byte by byte and filter by filter."""
+    data = "".join(c.lower() if c.isascii() else c for c in text).encode()
+    depth, widest = net.embedding.shape[1], net.kernel.shape[0] // net.embedding.shape[1]
+    total, size = np.zeros(len(net.languages)), settings.window
+    for lo in range(0, len(data), size):
+        window = data[lo : lo + size]
+        padded = window + b" " * (size - len(window))
+        hidden = []
+        for f in range(net.kernel.shape[1]):
+            best = max(
+                sum(float(net.embedding[padded[p + w]] @ net.kernel[w * depth : (w + 1) * depth, f]) for w in range(widest))
+                for p in range(size - widest + 1)
+            )
+            hidden.append(max(0.0, best + float(net.kernel_bias[f])))
+        out = np.array(hidden) @ net.head + net.head_bias
+        out -= out.max()
+        total += len(window) * (out - math.log(np.exp(out).sum()))
+    mean = np.exp(total / len(data) - (total / len(data)).max())
+    mean /= mean.sum()
+    return net.languages[int(mean.argmax())], float(mean.max())
+
+
+def test_prediction_is_the_network_window_by_window(docs_of):
+    settings = langid.Settings(epochs=10, window=32)
+    net = langid.fit(docs_of(sentences(60)), F.lit(True), settings)
+    texts = ["The", "der NORDÉN und the house " * 4, "x" * 33, "the of and water" * 2, "dïé wasser"]
+    got = langid.predict(docs_of(list(enumerate(texts))), net, ["doc_id"], settings).collect()
+    for row in got:
+        label, score = plain_language(net, texts[row.doc_id], settings)
+        assert row.lang_pred == label and abs(row.score - score) < 1e-4
+
+
+def test_quality_is_ridge_and_isotonic_on_all_rows(llm, docs_of):
+    """Folds, solutions, calibration and prediction, each restated on whole matrices."""
+    rng = random.Random(9)
+    texts = [" ".join(rng.choice(["good", "text.", "CLICK", "here!!!", "x1", "##"][: 3 + 3 * (i % 2)]) for _ in range(rng.randint(1, 30))) for i in range(160)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(None, "good text"), (3, texts[3]), (500, "")]
+    labels = llm.createDataFrame([(i, int(i % 2 == 0 or i % 11 == 0)) for i in range(120)] + [(4, 0), (None, 1)], "doc_id long, label int")
+    settings = quality.Settings(features=12, bins=50)
+    stats = quality.text_statistics(docs_of(rows), ["doc_id"]).cache()
+    model = quality.fit(stats, labels, F.col("doc_id") % 5 != 0, settings)
+    got = {r.doc_id: (r.score, r.predicted) for r in quality.predict(stats, model, settings).collect()}
+
+    fold = F.pmod(F.xxhash64(F.lit(settings.seed), "doc_id"), F.lit(settings.folds)).alias("fold")
+    known = {i: int(i % 2 == 0 or i % 11 == 0) for i in range(120)}
+    data = [(r.doc_id, np.array(r.stats), r.fold) for r in stats.select("doc_id", "stats", fold).collect()]
+    train = [(s, known[i], f) for i, s, f in data if i is not None and i % 5 and i in known]
+    x, y, folds = np.array([t[0] for t in train]), np.array([float(t[1]) for t in train]), np.array([t[2] for t in train])
+    mean, scale = x.mean(0), np.where(x.std(0) < 1e-9, 1.0, x.std(0))
+    z = quality.fourier(x, mean, scale, settings)
+
+    def ridge(rows_used):
+        a, n = z[rows_used], rows_used.sum()
+        return np.linalg.solve(a.T @ a + settings.ridge * n * np.eye(a.shape[1]), a.T @ y[rows_used])
+
+    raw = np.array([z[i] @ ridge(folds != folds[i]) for i in range(len(y))])
+    place = (np.clip((raw + 0.5) / 2, 0, 1) * settings.bins).astype(int)
+    bins = [(raw[place == b].mean(), y[place == b].mean(), (place == b).sum()) for b in np.unique(place)]
+    values, weights = np.array([b[1] for b in bins]), np.array([b[2] for b in bins])
+    mean_of = lambda j, k: (values[j : k + 1] * weights[j : k + 1]).sum() / weights[j : k + 1].sum()
+    level = [max(min(mean_of(j, k) for k in range(i, len(bins))) for j in range(i + 1)) for i in range(len(bins))]
+    centers, heights = [], []
+    for v in sorted(set(np.round(level, 12))):  # bins of one height are one pool
+        pool = np.flatnonzero(np.abs(np.array(level) - v) < 1e-9)
+        centers.append((np.array([bins[i][0] for i in pool]) * weights[pool]).sum() / weights[pool].sum())
+        heights.append(v)
+    final = ridge(np.ones(len(y), bool))
+    for i, s, _ in data:
+        want = np.clip(np.interp(quality.fourier(s[None], mean, scale, settings) @ final, centers, heights), 0, 1)[0]
+        assert abs(got[i][0] - want) < 1e-6 and got[i][1] == int(got[i][0] >= 0.5)
