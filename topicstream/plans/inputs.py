@@ -34,12 +34,14 @@ def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents as posts; the number of the source serves as a given cluster."""
+    """All documents as posts; the number of the source serves as a given cluster. Posts share links by source, language and id."""
     docs = texts(spark, sf_dir, "documents")
+    page = F.when(F.col("lang") != "en", F.concat_ws("/", "source", "lang"))
+    front = F.when(F.col("doc_id") % 2 == 0, F.concat(F.lit("front/"), (F.col("doc_id") % 3).cast("string")))
     return docs.select(
         F.col("doc_id").alias("id"),
         "text",
-        F.array().cast("array<string>").alias("urls"),
+        F.array_compact(F.array(page, front)).alias("urls"),
         F.regexp_extract("source", r"(\d+)", 1).cast("long").alias("source"),
     )
 
@@ -188,9 +190,8 @@ def thread_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staged_table(thread.select(F.aggregate("turns", F.lit(""), nest).alias("raw")), "raw-threads")
 
 
-def quoting_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw event lines, each quoting a post with a mention of its own; every other quote is not English."""
-    lines = raw_records(spark, sf_dir)
+def quoting_records(lines: DataFrame) -> DataFrame:
+    """Raw event lines, each quoting a post with a mention of its own; every other quote is not English."""
     lang = F.when(F.pmod(F.crc32(F.col("raw").cast("binary")), F.lit(2)) == 0, "en").otherwise("de")
     inner = F.concat(
         F.lit('{"id":1,"text":"quoted","lang":"'), lang, F.lit('","entities":{"user_mentions":[{"screen_name":"inner"}]}}')

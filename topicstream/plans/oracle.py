@@ -53,6 +53,8 @@ def _bucket(dims: int) -> str:
 
 ALL_DOCS = "docs AS (SELECT doc_id AS id, text, lang, source, n_chars FROM documents)"
 POSTS = (
+    "links AS (SELECT doc_id AS id, source || '/' || lang AS url FROM documents WHERE lang <> 'en' "
+    "UNION ALL SELECT doc_id, 'front/' || (doc_id % 3) FROM documents WHERE doc_id % 2 = 0), "
     "posts AS (SELECT doc_id AS id, text, regexp_extract(source, '(\\d+)', 1)::BIGINT AS source "
     "FROM documents)"
 )
@@ -94,9 +96,11 @@ def _report(keys: str, source: str = "assigned", name: str = "report") -> str:
   WHERE cluster_id IS NOT NULL GROUP BY {keys}),
 {name}_raw AS (SELECT *, CASE WHEN greatest(intra, inter) = 0 THEN 0.0 ELSE (inter - intra) / greatest(intra, inter) END
   AS silhouette FROM {name}_scores),
+{name}_best AS (SELECT {keys}, url FROM (SELECT {keys}, url, row_number() OVER (PARTITION BY {keys} ORDER BY count(*) DESC, url DESC) AS r
+  FROM {source} JOIN links USING (id) WHERE cluster_id IS NOT NULL GROUP BY {keys}, url) WHERE r = 1),
 {name} AS (SELECT {keys}, count, round(silhouette, 2) + 0.0 AS silhouette, round(intra, 2) + 0.0 AS intra,
   round(inter, 2) + 0.0 AS inter, count >= 8 AND silhouette >= 0.4 AND silhouette <= 0.95 AS interesting,
-  rep_id, rep_text, 'none' AS best_url FROM {name}_raw JOIN {name}_reps USING ({keys}))"""
+  rep_id, rep_text, coalesce(url, 'none') AS best_url FROM {name}_raw JOIN {name}_reps USING ({keys}) LEFT JOIN {name}_best USING ({keys}))"""
 
 
 REPORT = f"{ASSIGNED},\n{_report('batch_id, cluster_id')}"

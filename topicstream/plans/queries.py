@@ -516,28 +516,28 @@ def distant_candidates(spark, sf):
     return mo.distant_candidates(rows, inp.source_model(rows), 1.0).select("id")
 
 
-def _collected(spark, sf):
-    parsed = raw.drop_control_records(raw.parse_raw(inp.raw_records(spark, sf)))
-    return src.posts_from_lines(raw.project_post(raw.extract_entities(raw.flatten_quotes(parsed))))
+def _collected(lines):
+    return src.posts_from_lines(raw.collect_posts(raw.parse_raw(lines)))
 
 
-def _mentioning(spark, sf):
-    return raw.own_entities(raw.drop_control_records(raw.parse_raw(inp.quoting_records(spark, sf))))
+def _mentioning(lines):
+    return raw.own_entities(raw.drop_control_records(raw.parse_raw(inp.quoting_records(lines))))
 
 
 @query
 def mention_counts(spark, sf):
-    return ex.mention_counts(_mentioning(spark, sf))
+    return ex.mention_counts(_mentioning(inp.raw_records(spark, sf)))
 
 
 @query
 def top_mentions(spark, sf):
-    return ex.top_mentions(ex.mention_counts(_mentioning(spark, sf)), 20)
+    return ex.top_mentions(ex.mention_counts(_mentioning(inp.raw_records(spark, sf))), 20)
 
 
 @query
 def author_reach(spark, sf):
-    return ex.author_reach(ex.mention_counts(_mentioning(spark, sf)), _collected(spark, sf))
+    lines = inp.raw_records(spark, sf)
+    return ex.author_reach(ex.mention_counts(_mentioning(lines)), _collected(lines))
 
 
 def _groups(spark, sf):
@@ -843,7 +843,8 @@ def run_stream(spark, sf):
     size = -(-posts.count() // 3)
     sliced = src.slice_batches(posts, size, 3)
     source = new_run_dir(spark, "replay")
-    lines = sliced.select("id", "text", F.lit(None).cast("string").alias("urls"), "batch_index").persist()
+    urls = F.when(F.size("urls") > 0, F.array_join("urls", ",")).alias("urls")
+    lines = sliced.select("id", "text", urls, "batch_index").persist()
     for batch in range(3):  # files are taken in the order in which they were written
         part = lines.filter(F.col("batch_index") == batch).drop("batch_index")
         part.repartition(REPLAY_FILES).write.json(f"{source}/part={batch}")
