@@ -1,9 +1,15 @@
+import datetime as dt
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
 from topicstream.operators import quality as qu
 from topicstream.plans import history as hi
+from topicstream.plans import inputs as inp
+from topicstream.plans.queries import QUERIES
 from topicstream.schemas import MODEL
+from topicstream.session import new_run_dir
 
 ASSIGNED = "id long, cluster_id long, text string, urls array<string>, own double, other double"
 
@@ -70,3 +76,19 @@ def test_drilldown(spark):
     rows = spark.createDataFrame([(7, 1, 10, "x"), (9, 1, 11, "y"), (9, 2, 12, "z")],
                                  "batch_id long, cluster_id long, id long, text string")
     assert [r["id"] for r in hi.drilldown(rows, 1, 1).collect()] == [11]
+
+
+def test_event_history_with_cells_of_zeros(spark):
+    """A cell whose values are all 0 has the silhouette of an IEEE division, as in the SQL, and fails no query."""
+    folder = new_run_dir(spark, "events")
+    week = dt.datetime(2024, 1, 2)
+    rows = [(n, week, 1, "click", 1.0 + n % 2) for n in range(8)] + [(8, week + dt.timedelta(7), 1, "click", 0.0)]
+    rows += [(9, week, 2, "view", 0.0), (10, week, 3, "view", -1.0), (11, week, 3, "view", 0.0)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string, value double").write.parquet(f"{folder}/events.parquet")
+    report = {(r["cluster_id"], r["batch_id"]): (r["silhouette"], r["interesting"]) for r in inp.event_report(spark, folder).collect()}
+    assert report[19, 2] == (0.75, True)
+    assert math.isnan(report[19, 5][0]) and math.isnan(report[28, 2][0]) and report[38, 2] == (-math.inf, False)
+    assert not report[19, 5][1] and not report[28, 2][1]
+    assert [(r["batch_index"], r["count"]) for r in QUERIES["history_grid"](spark, folder).orderBy("batch_index").collect()] == [(0, 8), (1, 1)]
+    assert QUERIES["interesting_history"](spark, folder).count() == 2
+    assert [r["cells"] for r in QUERIES["group_by_cluster"](spark, folder).collect()] == ["0:8 1:1"]
