@@ -4,6 +4,7 @@ import random
 from pyspark.sql import functions as F
 
 from topicstream.operators.skew import join_per_key, with_position
+from topicstream.plans import inputs as inp
 from topicstream.session import new_run_dir
 from topicstream.sources import posts as src
 from topicstream.sources import raw, terms
@@ -137,3 +138,22 @@ def test_look_up_with_hot_keys(spark):
 def test_time_batches(spark):
     rows = spark.sql("SELECT timestamp'2024-01-01 00:03:59' ts UNION ALL SELECT timestamp'2024-01-01 00:04:00'")
     assert sorted(str(r["batch_start"]) for r in src.time_batches(rows).collect()) == ["2024-01-01 00:02:00", "2024-01-01 00:04:00"]
+
+
+def test_raw_lines_are_spread_by_their_number(spark, monkeypatch):
+    """One file with one row group still gives as many tasks as the number of its rows asks for, each line once."""
+    monkeypatch.setattr(inp, "LINES_PER_TASK", 10)
+    monkeypatch.setattr(inp, "SMALL_ROWS", 20)
+    folder = new_run_dir(spark, "events")
+    rows = spark.range(200).selectExpr("id event_id", "timestamp'2024-01-01' ts", "id % 7 user_id", "'click' event_type", "1.0D value", "'{\"k\":1}' props")
+    rows.coalesce(1).write.parquet(f"{folder}/events.parquet")
+    lines = inp.raw_records(spark, folder)
+    assert lines.rdd.getNumPartitions() >= 20
+    assert sorted(r["id"] for r in raw.collect_posts(raw.parse_raw(lines)).collect()) == list(range(200))
+
+
+def test_quotes_under_an_escaped_key(spark):
+    inner = '{"text":"b","lang":"en","%s":{"text":"c","lang":"en"}}'
+    lines = ['{"id":1,"text":"a","quoted_status":%s}' % (inner % "quoted_status"), '{"id":2,"text":"a","quoted_stat\\u0075s":%s}' % (inner % "quoted_status"), '{"id":3,"text":"quoted_status"}']
+    flat = raw.flatten_quotes(raw.parse_raw(spark.createDataFrame([(x,) for x in lines], "raw string")))
+    assert sorted((r["id"], r["level"], r["text"]) for r in flat.collect()) == [(1, 2, "a @QUOTED: b @QUOTED: c"), (2, 2, "a @QUOTED: b @QUOTED: c"), (3, 0, "quoted_status")]
