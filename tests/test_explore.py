@@ -171,3 +171,22 @@ def test_a_block_too_large_is_refused(spark):
     _, space = space_of(spark, np.eye(6))
     with pytest.raises(ValueError, match="min_df"):
         ws.WordSpace(space.posts, space.size, 100).share(np.zeros((6, 6)))
+
+
+def test_word_counts_need_no_shuffle_and_merge_shared_ids(spark):
+    texts = [(1, "red red green"), (2, "green blue"), (3, None), (None, "red"), (None, "red blue"), (4, ""), (2, "blue sky")]
+    posts = spark.createDataFrame(texts, "id long, text string")
+    expected = {(1, "red", 2), (1, "green", 1), (2, "green", 1), (2, "blue", 2), (2, "sky", 1), (None, "red", 2), (None, "blue", 1)}
+    got = ex.word_rows(posts, ()).select("id", "word", "n").collect()
+    assert {tuple(r) for r in got} == expected and len(got) == len(expected)
+    alone = ex.word_rows(posts.filter("id in (1, 3, 4)"), ())
+    assert {tuple(r) for r in alone.collect()} == {(1, "red", 2), (1, "green", 1)}
+    assert "Exchange" not in alone._jdf.queryExecution().toString()
+
+
+def test_weights_of_frequent_words_are_broadcast(spark):
+    """The same weights with and without frequent words, whose counts meet no shuffled join."""
+    posts = spark.createDataFrame([(n, f"common word{n % 7} word{n % 150}") for n in range(400)], "id long, text string")
+    rows = {often: {(r["id"], r["word"]): r["w"] for r in ex.tfidf_l2(posts, 2, 1.0, (), often).collect()} for often in (10**6, 1)}
+    assert rows[10**6].keys() == rows[1].keys() and rows[1]
+    assert all(abs(w - rows[1][key]) < 1e-12 for key, w in rows[10**6].items())
