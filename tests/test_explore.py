@@ -120,6 +120,28 @@ def test_dbscan_folds_copies(spark):
     assert got == {i: 0 for i in range(6)} | {6: -1, 7: -1, 8: -1}
 
 
+def test_candidates_hold_all_close_pairs_and_few_others(spark):
+    """Texts that share one rare word and many frequent ones are no candidates; near copies are."""
+    rng = np.random.default_rng(7)
+    x = np.zeros((80, 140))
+    for i in range(80):
+        x[i, rng.choice(60, 25, replace=False)] = 1.0
+        x[i, 60 + i // 2] = x[i, 100 + i // 4 * 2 % 40] = 0.6
+    for i in range(0, 80, 10):
+        x[i + 1] = x[i] + 0.05 * (rng.random(140) < 0.1)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    rows = spark.createDataFrame([(i, j, float(x[i, j])) for i in range(80) for j in np.flatnonzero(x[i]).tolist()], "p long, code long, w double")
+    df = rows.groupBy("code").agg(F.count("*").alias("df"))
+    vectors = rows.join(df, "code").groupBy("p").agg(F.array_sort(F.collect_list(F.struct("df", "code", "w"))).alias("e"))
+    cosine = 1 - 0.3 * 0.3 / 2
+    keys = bc.lookup_words(vectors, cosine)
+    under = keys.join(keys.select("code", F.col("p").alias("q")), "code").filter("p < q").select("p", "q").distinct().count()
+    got = {tuple(r) for r in bc.candidate_pairs(keys, cosine).collect()}
+    near = {(i, j) for i in range(80) for j in range(i + 1, 80) if ((x[i] - x[j]) ** 2).sum() <= 0.09}
+    assert near and near <= got and 3 * len(got) < under
+    assert {tuple(r) for r in bc.close_pairs(vectors, 0.3).collect()} == near
+
+
 def space_of(spark, x):
     x = x / np.linalg.norm(x, axis=1, keepdims=True)
     rows = [(i, f"w{j}", float(v)) for i, row in enumerate(x) for j, v in enumerate(row) if v]
