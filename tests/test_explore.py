@@ -180,6 +180,22 @@ def test_kmeans_and_silhouette_of_sparse_posts(spark):
     assert abs(ws.silhouette(space, 4, 3) - np.mean(want)) < 1e-9
 
 
+def test_kmeans_with_rare_words_in_a_table(spark):
+    """A block of a few frequent words, the others as rows; as by one block over all words."""
+    rng = np.random.default_rng(3)
+    x = np.where(rng.random((50, 30)) < 0.2, rng.random((50, 30)), 0)
+    x[:, 0] += 0.01
+    x[10:20, 0], x[10:20, 29] = 0, 1  # posts without the most frequent word
+    x, space = space_of(spark, x)
+    for often in (1, 7):
+        small = ws.WordSpace(space.posts, space.size, 10_000, often * 8 * 4)
+        assert small.often(4) == often
+        got = {r["id"]: r["label"] for r in ws.kmeans_labels(small, 4, 3).collect()}
+        assert [got[i] for i in range(50)] == plain_kmeans(x, 4, 3).tolist()
+    few = ws.WordSpace(space.posts, space.size, 800, 400)  # a block over all words is refused
+    assert abs(ws.silhouette(few, 4, 2) - ws.silhouette(space, 4, 2)) < 1e-9
+
+
 def test_latent_semantics_of_sparse_posts(spark):
     rng = np.random.default_rng(1)
     x, space = space_of(spark, np.where(rng.random((50, 40)) < 0.2, rng.random((50, 40)), 0) + np.eye(50, 40) + 0.02 * (np.arange(40) == 3))
