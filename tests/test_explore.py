@@ -1,3 +1,5 @@
+from types import SimpleNamespace
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -205,6 +207,52 @@ def test_latent_semantics_of_sparse_posts(spark):
     assert np.allclose(np.abs([got[i] for i in range(50)]), np.abs(want), atol=1e-6)
 
 
+def test_latent_semantics_needs_few_rounds(monkeypatch):
+    """Slowly falling singular values; and directions that settle at very different times, of which the early ones must not spoil the others."""
+    passes = []
+    monkeypatch.setattr(ws, "_gram_times", lambda space, block: passes.append(block.shape[1]) or space.x.T @ (space.x @ block))
+    rng = np.random.default_rng(4)
+    left, right = (np.linalg.qr(rng.standard_normal((size, 60)))[0] for size in (150, 80))
+    rng = np.random.default_rng(1)
+    thin = np.where(rng.random((50, 40)) < 0.2, rng.random((50, 40)), 0) + np.eye(50, 40) + 0.02 * (np.arange(40) == 3)
+    for x in (left * 0.97 ** np.arange(60) @ right.T, thin):
+        passes.clear()
+        x = x / np.linalg.norm(x, axis=1, keepdims=True)
+        got = ws.right_singular_vectors(SimpleNamespace(x=x, size=x.shape[1]), 2)
+        assert np.allclose(np.abs(got), np.abs(np.linalg.svd(x)[2][:2].T), atol=1e-8)
+        assert len(passes) <= 35 and max(passes) <= 4
+
+
+def test_latent_semantics_of_few_words(spark):
+    """Fewer words or independent posts than directions are asked for, and posts that are all equal."""
+    for x in (np.ones((5, 1)), np.ones((4, 3)), np.eye(3), np.array([[1.0, 1, 0, 0], [0, 0, 1, 1], [1, 1, 0, 0]])):
+        x, space = space_of(spark, x)
+        basis = ws.right_singular_vectors(space, 2)
+        assert np.allclose(basis.T @ basis, np.eye(basis.shape[1])) and basis.shape == (x.shape[1], min(2, x.shape[1]))
+        assert len(ws.lsa_reduce(space, 2).collect()) == len(x)
+
+
+def test_numbered_words_have_the_weights_of_the_rows(spark):
+    """Lists of word numbers, with the frequent words broadcast or met by a join, hold what the rows (id, word, w) hold."""
+    texts = [(n, f"common word{n % 7} word{n % 150} word{n % 150} once{n}") for n in range(300)]
+    texts += [(5, "word5 word6"), (None, "word1 word2"), (None, "word1 word8"), (900, None), (901, ""), (902, "lonely")]
+    posts = spark.createDataFrame(texts, "id long, text string")
+    rows = {}
+    for r in ex.tfidf_l2(posts, 2, 0.5, ()).collect():
+        rows.setdefault(r["id"], []).append(r["w"])
+    assert None in rows and not rows.keys() & {900, 901, 902}
+    for often in (10**6, 5, 1):
+        got = ex.tfidf_l2(posts, 2, 0.5, (), often, numbered=True).collect()
+        assert len(got) == len(rows)
+        for r in got:
+            assert r["at"] == sorted(set(r["at"])) and np.allclose(sorted(r["w"]), sorted(rows[r["id"]]))
+    numbers = ws.word_space(ex.tfidf_l2(posts, 2, 0.5, (), 5, numbered=True))
+    used = [r["n"] for r in numbers.posts.select(F.explode("at").alias("at")).groupBy("at").agg(F.count("*").alias("n")).orderBy("at").collect()]
+    assert len(used) == numbers.size and used == sorted(used, reverse=True)
+    nothing = ws.word_space(ex.tfidf_l2(posts.filter("id > 899"), 2, 0.5, (), numbered=True))
+    assert nothing.size == 0 and nothing.posts.count() == 0
+
+
 def test_a_block_too_large_is_refused(spark):
     _, space = space_of(spark, np.eye(6))
     with pytest.raises(ValueError, match="min_df"):
