@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from topicstream.operators import batch_clustering as bc
 from topicstream.operators import explore as ex
 from topicstream.operators import word_space as ws
+from topicstream.session import folders_in, shared_root
 
 
 def tags(spark, rows):
@@ -276,3 +277,33 @@ def test_weights_of_frequent_words_are_broadcast(spark):
     rows = {often: {(r["id"], r["word"]): r["w"] for r in ex.tfidf_l2(posts, 2, 1.0, (), often).collect()} for often in (10**6, 1)}
     assert rows[10**6].keys() == rows[1].keys() and rows[1]
     assert all(abs(w - rows[1][key]) < 1e-12 for key, w in rows[10**6].items())
+
+
+def test_kmeans_runs_share_their_passes_and_leave_no_tables(spark, monkeypatch):
+    """Runs with several numbers of clusters, with rare words in many segments, give what each gives alone, in as many passes as one of them needs."""
+    rng = np.random.default_rng(7)
+    x = np.where(rng.random((60, 90)) < 0.2, rng.random((60, 90)), 0) + 0.01 * (np.arange(90) == 0)
+    _, space = space_of(spark, x)
+    monkeypatch.setattr(ws, "TAIL_WORDS", 8)
+    monkeypatch.setattr(ws, "FETCHED", 200)
+    small, passes, means = ws.WordSpace(space.posts, space.size, often_bytes=900), [], ws._means
+    monkeypatch.setattr(ws, "_means", lambda *args, **kw: passes.append(means(*args, **kw)) or passes[-1])
+    before = folders_in(spark, f"{shared_root(spark)}/topicstream")
+    got = ws.silhouettes(small, [2, 5, 9], 4)
+    assert len(passes) <= 5 and len(passes[0][0].tail) > 1
+    assert np.allclose(got, [ws.silhouette(space, k, 4) for k in (2, 5, 9)], atol=1e-9)
+    labels = {r["id"]: r["label"] for r in ws.kmeans_labels(small, 9, 4).collect()}
+    assert labels == {r["id"]: r["label"] for r in ws.kmeans_labels(space, 9, 4).collect()}
+    assert folders_in(spark, f"{shared_root(spark)}/topicstream") == before
+
+
+def test_numbered_words_leave_the_vectors_and_the_words(spark):
+    posts = spark.createDataFrame([(n, f"word{n % 5} word{n % 3} more{n % 4}") for n in range(40)], "id long, text string")
+    before = set(folders_in(spark, f"{shared_root(spark)}/topicstream"))
+    vectors, words = ex.word_vectors(posts, 2, 0.9, (), 3)
+    left = sorted(name.rsplit("-", 1)[0] for name in set(folders_in(spark, f"{shared_root(spark)}/topicstream")) - before)
+    assert left == ["vocabulary", "word-vectors"]
+    labels = posts.select("id", (F.col("id") % 3).alias("cluster_id"))
+    rows = [ex.top_terms(t, labels, 3, 4, w) for t, w in ((vectors, words), (ex.tfidf_l2(posts, 2, 0.9, ()), None))]
+    listed, plain = (sorted((r["cluster_id"], r["rank"], r["word"], r["size"], round(r["weight"], 9)) for r in t.collect()) for t in rows)
+    assert listed == plain and listed
