@@ -307,3 +307,12 @@ def test_numbered_words_leave_the_vectors_and_the_words(spark):
     rows = [ex.top_terms(t, labels, 3, 4, w) for t, w in ((vectors, words), (ex.tfidf_l2(posts, 2, 0.9, ()), None))]
     listed, plain = (sorted((r["cluster_id"], r["rank"], r["word"], r["size"], round(r["weight"], 9)) for r in t.collect()) for t in rows)
     assert listed == plain and listed
+
+
+def test_dbscan_leaves_points_members_and_pairs(spark):
+    rows = [(n, f"w{n % 4}", 1.0) for n in range(30)] + [(50, "x", 0.6), (50, "y", 0.8)]
+    before = set(folders_in(spark, f"{shared_root(spark)}/topicstream"))
+    got = {r["id"]: r["label"] for r in bc.dbscan(spark.createDataFrame(rows, "id long, word string, w double"), 0.3, 5).collect()}
+    assert got == {**{n: n % 4 for n in range(30)}, 50: -1}
+    left = sorted(name.rsplit("-", 1)[0] for name in set(folders_in(spark, f"{shared_root(spark)}/topicstream")) - before)
+    assert left == ["close-pairs", "members", "points"]
